@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from permaway.llm import decontaminate, mixing
+from permaway.llm import decontaminate, linehash, mixing, topk
 
 QUERIES = {
     "op4_decontaminate": decontaminate.op4_decontaminate,
+    "op6_exact_top_k": topk.op6_exact_top_k,
+    "op8_line_hash_dedup": linehash.op8_line_hash_dedup,
     "op9_mix": mixing.op9_mix,
 }
 SQL = {
     "op4_decontaminate": decontaminate.SQL,
+    "op6_exact_top_k": topk.SQL,
+    "op8_line_hash_dedup": linehash.SQL,
     "op9_mix": mixing.SQL,
 }
