@@ -28,3 +28,20 @@ def cut(df: DataFrame) -> DataFrame:
     path = f"{scratch_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Rows and bytes (as Parquet) up to which a cut table is sent to every executor.
+BROADCAST_ROWS, BROADCAST_BYTES = 400_000, 8 << 20
+
+
+def bytes_of(df: DataFrame) -> int:
+    """Size of the files of a cut table."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+
+
+def hint_small(df: DataFrame, rows: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> DataFrame:
+    """A cut table, marked for broadcast if its rows and files have been counted and are few;
+    a larger one is left to a shuffled join, whose hot partitions are split at run time."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if bytes_of(df) <= most and df.count() <= rows else df
