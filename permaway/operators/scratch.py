@@ -36,7 +36,7 @@ BROADCAST_ROWS, BROADCAST_BYTES = 400_000, 8 << 20
 
 def bytes_of(df: DataFrame) -> int:
     """Size of the files of a cut table."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def hint_small(df: DataFrame, rows: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> DataFrame:
