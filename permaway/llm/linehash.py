@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from permaway.operators.scratch import cut
+from permaway.operators.scratch import cut, hint_small
 
 
 def normal_unit(unit: Column) -> Column:
@@ -32,7 +32,7 @@ def repeated_units(docs: DataFrame, separator: str = "\n") -> DataFrame:
     units = cut(units_of(docs, separator))
     first = units.groupBy("digest").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("n"))
     first = cut(first.where("n > 1").select("digest", F.col("first.doc_id").alias("first_id"), F.col("first.pos").alias("first_pos")))
-    gone = units.join(first, "digest").where("not (doc_id <=> first_id and pos = first_pos)")
+    gone = units.join(hint_small(first), "digest").where("not (doc_id <=> first_id and pos = first_pos)")
     return gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
 
 
@@ -44,9 +44,11 @@ def dedup_lines_exact(docs: DataFrame, separator: str = "\n") -> DataFrame:
     occurrence, by doc_id and then position, stays; blank units always stay. Rows of
     one doc_id count as one document and lose the same units; a null doc_id comes
     first. A null text stays null with no units; an empty text has one blank unit.
+    What goes is joined to the documents where they are if it is small, so that whole
+    texts are only shuffled where it is not.
     """
-    gone = repeated_units(docs, separator).withColumnRenamed("doc_id", "_gone_id")
-    j = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone_id")), "left").drop("_gone_id")
+    gone = cut(repeated_units(docs, separator).withColumnRenamed("doc_id", "_gone_id"))
+    j = docs.join(hint_small(gone), F.col("doc_id").eqNullSafe(F.col("_gone_id")), "left").drop("_gone_id")
     n = len(separator)
     sep = "'" + separator.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n") + "'"
     j = j.withColumn("_units", F.split("text", "\\Q" + separator + "\\E", -1)).withColumn("gone", F.coalesce("gone", F.expr("cast(array() as array<int>)")))

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from permaway.llm import decontaminate, linehash, mixing, topk
+from permaway.llm import decontaminate, fuzzylines, linehash, mixing, quality, topk, toxicity
 
 QUERIES = {
+    "op2_quality": quality.op2_quality,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op6_exact_top_k": topk.op6_exact_top_k,
+    "op7_fuzzy_lines": fuzzylines.op7_fuzzy_lines,
     "op8_line_hash_dedup": linehash.op8_line_hash_dedup,
     "op9_mix": mixing.op9_mix,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 SQL = {
     "op4_decontaminate": decontaminate.SQL,

@@ -143,7 +143,8 @@ def disguised(raw: bytes) -> list[str]:
             b += 2
         done = b
         if b - i <= 80:
-            out.append(bytes(text[i : b + 1]).decode("ascii"))
+            found = bytes(text[i : b + 1]).decode("ascii")
+        out += [found, found[2:]]  # the first may be a word by itself
     return [t for t in out if t]
 
 
