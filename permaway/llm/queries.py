@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from permaway.llm import decontaminate, fuzzylines, linehash, mixing, quality, topk, toxicity
+from permaway.llm import decontaminate, fuzzylines, linehash, mixing, ngramjoin, quality, topk, toxicity
 
 QUERIES = {
     "op2_quality": quality.op2_quality,
     "op4_decontaminate": decontaminate.op4_decontaminate,
+    "op5_ngram_jaccard": ngramjoin.op5_ngram_jaccard,
     "op6_exact_top_k": topk.op6_exact_top_k,
     "op7_fuzzy_lines": fuzzylines.op7_fuzzy_lines,
     "op8_line_hash_dedup": linehash.op8_line_hash_dedup,
