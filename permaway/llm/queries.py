@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from permaway.llm import decontaminate, fuzzylines, linehash, mixing, ngramjoin, quality, topk, toxicity
+from permaway.llm import decontaminate, fuzzylines, linehash, mixing, ngramjoin, quality, suffixdedup, topk, toxicity
 
 QUERIES = {
     "op2_quality": quality.op2_quality,
+    "op3_suffix_dedup": suffixdedup.op3_suffix_dedup,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_ngram_jaccard": ngramjoin.op5_ngram_jaccard,
     "op6_exact_top_k": topk.op6_exact_top_k,
