@@ -103,21 +103,26 @@ def gone_lines(docs: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame
 
 def dedup_lines_fuzzy(docs: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame:
     """docs with text less the lines that resemble an earlier one, and n_lines, n_removed,
-    gone (positions) beside it.
+    removed_lines (positions) beside it, in place of columns of these names.
 
     Blank lines always stay; null and empty texts come back as they are; rows of one
-    doc_id count as one document; a null doc_id is the first. The texts themselves are
-    not shuffled unless the table of what goes is too large to be sent out.
+    doc_id count as one document; a null doc_id is the first; an empty table gives none.
+    The texts themselves are not shuffled unless the table of what goes is too large
+    to be sent out.
     """
-    gone = cut(gone_lines(docs, threshold, k).withColumnRenamed("doc_id", "_gone_id"))
-    j = docs.join(hint_small(gone), F.col("doc_id").eqNullSafe(F.col("_gone_id")), "left").drop("_gone_id")
-    j = j.withColumn("gone", F.coalesce("gone", F.expr("cast(array() as array<int>)")))
-    j = j.withColumn("n_lines", F.coalesce(F.when(F.col("text").isNotNull(), F.size(F.split("text", "\n", -1))), F.lit(0)).cast("bigint"))
-    j = j.withColumn("n_removed", F.size("gone").cast("bigint"))
-    kept = F.expr(r"array_join(filter(split(text, '\n', -1), (u, i) -> not array_contains(gone, i)), '\n')")
-    return j.withColumn("text", F.when(F.size("gone") > 0, kept).otherwise(F.col("text")))
+    gone = cut(gone_lines(docs.select("doc_id", "text"), threshold, k).select(F.col("doc_id").alias("_gone_id"), F.col("gone").alias("_gone")))
+    j = docs.select(F.struct("*").alias("_d")).join(hint_small(gone), F.col("_d.doc_id").eqNullSafe(F.col("_gone_id")), "left")
+    j = j.withColumn("_gone", F.coalesce("_gone", F.expr("cast(array() as array<int>)"))).withColumn("_text", F.col("_d.text"))
+    kept = F.expr(r"array_join(filter(split(_text, '\n', -1), (u, i) -> not array_contains(_gone, i)), '\n')")
+    new = {
+        "n_lines": F.coalesce(F.when(F.col("_text").isNotNull(), F.size(F.split("_text", "\n", -1))), F.lit(0)).cast("bigint"),
+        "n_removed": F.size("_gone").cast("bigint"),
+        "removed_lines": F.col("_gone"),
+    }
+    own = [F.when(F.size("_gone") > 0, kept).otherwise(F.col("_text")).alias("text") if c == "text" else F.col(f"_d.`{c}`") for c in docs.columns if c not in new]
+    return j.select(*own, *[v.alias(c) for c, v in new.items()])
 
 
 def op7_fuzzy_lines(spark, sf_dir: str) -> DataFrame:
     out = dedup_lines_fuzzy(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    return out.select("doc_id", "n_lines", "n_removed", F.concat_ws(",", F.col("gone").cast("array<string>")).alias("removed_lines"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_lines", "n_removed", F.concat_ws(",", F.col("removed_lines").cast("array<string>")).alias("removed_lines"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))

@@ -39,7 +39,7 @@ def repeated_units(docs: DataFrame, separator: str = "\n") -> DataFrame:
 def dedup_lines_exact(docs: DataFrame, separator: str = "\n") -> DataFrame:
     """docs with text less every repeated unit, and what went, by its place in the input.
 
-    New columns: n_units, n_removed, removed_chars, removed_spans (array of start and
+    New columns, in place of any of these names: n_units, n_removed, removed_chars, removed_spans (array of start and
     stop in characters of the input text, stop without the separator). The earliest
     occurrence, by doc_id and then position, stays; blank units always stay. Rows of
     one doc_id count as one document and lose the same units; a null doc_id comes
@@ -47,24 +47,28 @@ def dedup_lines_exact(docs: DataFrame, separator: str = "\n") -> DataFrame:
     What goes is joined to the documents where they are if it is small, so that whole
     texts are only shuffled where it is not.
     """
-    gone = cut(repeated_units(docs, separator).withColumnRenamed("doc_id", "_gone_id"))
-    j = docs.join(hint_small(gone), F.col("doc_id").eqNullSafe(F.col("_gone_id")), "left").drop("_gone_id")
+    gone = cut(repeated_units(docs.select("doc_id", "text"), separator).select(F.col("doc_id").alias("_gone_id"), F.col("gone").alias("_gone")))
+    j = docs.select(F.struct("*").alias("_d")).join(hint_small(gone), F.col("_d.doc_id").eqNullSafe(F.col("_gone_id")), "left")
     n = len(separator)
-    sep = "'" + separator.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n") + "'"
-    j = j.withColumn("_units", F.split("text", "\\Q" + separator + "\\E", -1)).withColumn("gone", F.coalesce("gone", F.expr("cast(array() as array<int>)")))
-    hit = F.size("gone") > 0
+    j = j.withColumn("_text", F.col("_d.text")).withColumn("_units", F.split("_text", "\\Q" + separator + "\\E", -1))
+    j = j.withColumn("_gone", F.coalesce("_gone", F.expr("cast(array() as array<int>)")))
+    hit = F.size("_gone") > 0
     # Starts of all units are a running sum; it is only made where something goes.
     starts = F.expr(
         f"aggregate(_units, named_struct('at', 0, 'all', cast(array() as array<int>)), (x, u) -> named_struct('at', x.at + length(u) + {n}, 'all', array_append(x.all, x.at))).all"
     )
     j = j.withColumn("_starts", F.when(hit, starts))
-    j = j.withColumn("removed_spans", F.when(hit, F.expr("transform(gone, p -> named_struct('start', _starts[p], 'stop', _starts[p] + length(_units[p])))")).otherwise(F.expr("cast(array() as array<struct<start:int,stop:int>>)")))
-    kept = F.array_join(F.expr("filter(_units, (u, i) -> not array_contains(gone, i))"), separator)
-    j = j.withColumn("text", F.when(hit, kept).otherwise(F.col("text")))
-    j = j.withColumn("n_units", F.coalesce(F.size("_units"), F.lit(0)).cast("bigint")).withColumn("n_removed", F.size("gone").cast("bigint"))
-    j = j.withColumn("n_units", F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.col("n_units")).cast("bigint"))
-    j = j.withColumn("removed_chars", F.expr("aggregate(removed_spans, 0L, (x, s) -> x + s.stop - s.start)"))
-    return j.drop("_units", "_starts", "gone")
+    none = F.expr("cast(array() as array<struct<start:int,stop:int>>)")
+    j = j.withColumn("_spans", F.when(hit, F.expr("transform(_gone, p -> named_struct('start', _starts[p], 'stop', _starts[p] + length(_units[p])))")).otherwise(none))
+    kept = F.array_join(F.expr("filter(_units, (u, i) -> not array_contains(_gone, i))"), separator)
+    new = {
+        "n_units": F.when(F.col("_text").isNull(), F.lit(0)).otherwise(F.size("_units")).cast("bigint"),
+        "n_removed": F.size("_gone").cast("bigint"),
+        "removed_chars": F.expr("aggregate(_spans, 0L, (x, s) -> x + s.stop - s.start)"),
+        "removed_spans": F.col("_spans"),
+    }
+    own = [F.when(hit, kept).otherwise(F.col("_text")).alias("text") if c == "text" else F.col(f"_d.`{c}`") for c in docs.columns if c not in new]
+    return j.select(*own, *[v.alias(c) for c, v in new.items()])
 
 
 SQL = r"""

@@ -46,6 +46,29 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most:
     return per.select("source", "source_size", F.least(F.col("cap"), level * F.col("w")).alias("target"))
 
 
+def _rated(rows: DataFrame, sized: DataFrame, weights: tuple[int, ...], most: int, seed: str) -> DataFrame:
+    """rows(_d struct with source and doc_id, _size) with its source's figures and copies.
+
+    The table of sources is counted; a small one is sent to where the rows are, a larger
+    one is joined on source and salt, so that a hot source is spread over tasks."""
+    targets = cut(source_targets(sized, weights, most)).withColumnRenamed("source", "_source")
+    same = F.col("_d.source").eqNullSafe(F.col("_source"))
+    if targets.count() <= BROADCAST_ROWS:
+        j = rows.join(F.broadcast(targets), same)
+    else:
+        salted = targets.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        with_salt = rows.withColumn("_row_salt", F.pmod(F.xxhash64("_d.doc_id"), F.lit(SALTS)).cast("int"))
+        j = with_salt.join(salted, same & (F.col("_row_salt") == F.col("_salt")))
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    j = j.withColumn("_rate", rate)
+    extra = (unit_draw(F.col("_d.doc_id"), seed) < F.col("_rate") - F.floor("_rate")).cast("bigint")
+    return j.withColumn("_copies", F.floor("_rate").cast("bigint") + extra)
+
+
+def _size() -> Column:
+    return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
+
+
 def plan_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, seed: str = "mix") -> DataFrame:
     """(doc_id, size, source_size, target, copies, taken), one row per input row.
 
@@ -54,29 +77,21 @@ def plan_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int =
     a source of its own; repeated rows get the same draw; an empty table gives none.
     Other columns are not read.
     """
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
-    sized = cut(docs.select("doc_id", "source", size.alias("size")))
-    targets = cut(source_targets(sized, weights, most))
-    rows = targets.count()
-    if rows <= BROADCAST_ROWS:
-        j = sized.alias("d").join(F.broadcast(targets.alias("t")), F.expr("d.source <=> t.source"))
-    else:
-        salted = targets.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        with_salt = sized.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-        j = with_salt.alias("d").join(salted.alias("t"), F.expr("d.salt = t.salt and d.source <=> t.source"))
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    j = j.select("doc_id", "size", "source_size", "target", rate.alias("rate"))
-    extra = (unit_draw(F.col("doc_id"), seed) < F.col("rate") - F.floor("rate")).cast("bigint")
-    j = j.withColumn("copies", F.floor("rate").cast("bigint") + extra)
-    return j.select("doc_id", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
-
-
-def mix(docs: DataFrame, **how) -> DataFrame:
-    """The documents of the mix: every row as often as its copies say, with copy from 1."""
-    plan = plan_mix(docs, **how).groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    j = docs.alias("d").join(plan.alias("p"), F.expr("d.doc_id <=> p.doc_id"))
-    j = j.where("_copies > 0").select("d.*", F.explode(F.expr("sequence(1L, _copies)")).alias("_copy"))
-    return j.withColumnRenamed("_copy", "copy") if "copy" not in docs.columns else j
+    sized = cut(docs.select("doc_id", "source", _size().alias("size")))
+    j = _rated(sized.select(F.struct("doc_id", "source").alias("_d"), F.col("size").alias("_size")), sized, weights, most, seed)
+    return j.select(
+        "_d.doc_id", F.col("_size").alias("size"), "source_size", "target",
+        F.col("_copies").alias("copies"), (F.col("_size") * F.col("_copies")).alias("taken"),
+    )
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, seed: str = "mix") -> DataFrame:
+    """The documents of the mix: every row as often as its copies say, numbered from 1 in a
+    last column copy (_copy if there is one of that name). Sizes are summed in one pass and
+    the rows go out in another; texts are not shuffled."""
+    sized = docs.select("source", _size().alias("size"))
+    j = _rated(docs.select(F.struct("*").alias("_d")), sized, weights, most, seed).where("_copies > 0")
+    return j.select("_d.*", F.explode(F.expr("sequence(1L, _copies)")).alias("_copy" if "copy" in docs.columns else "copy"))
 
 
 SQL = r"""

@@ -247,10 +247,10 @@ def near_groups(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> D
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("head")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def keep_first(docs: DataFrame, **how) -> DataFrame:
-    """docs less those that are linked with one of a smaller doc_id."""
-    g = near_groups(docs, **how).where("not (doc_id <=> component_id)").select(F.col("doc_id").alias("_d")).distinct()
-    return docs.join(hint_small(cut(g)), F.col("doc_id").eqNullSafe(F.col("_d")), "left_anti")
+def keep_first(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """docs less those that are linked, through others or not, with one of a smaller doc_id."""
+    g = near_groups(docs, k, num, den).where("not (doc_id <=> component_id)").select(F.col("doc_id").alias("_linked_id")).distinct()
+    return docs.join(hint_small(cut(g)), F.col("doc_id").eqNullSafe(F.col("_linked_id")), "left_anti")
 
 
 def op5_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
