@@ -14,7 +14,7 @@ from permaway.llm.shingles import BASE, BYTE, INVERSE, mix, powers
 from permaway.operators.scratch import cut, hint_small
 
 #: Bytes of a seed; a window of `length` bytes is filed under the smallest hash of its seeds.
-SEED = 16
+SEED = 20
 #: Windows in one stretch at most, and bytes of a text taken at once.
 STRETCH, PIECE = 64, 1 << 22
 #: Stretches sorted together; a seed with more different stretches than HOT is compared window by window instead.
@@ -134,37 +134,67 @@ def seed_filter(shared: DataFrame, most_bits: int = FILTER_BITS) -> SeedFilter:
     return out
 
 
-PLACES = "seed bigint, content bigint, doc bigint, row bigint, start int, windows int, bytes binary"
+PLACES = ("seed", "content", "doc", "row", "start", "windows")
 
 
 def _candidates(texts: DataFrame, found: SeedFilter, length: int) -> DataFrame:
-    """The stretches whose seeds the filter has, with their bytes."""
+    """(seed, content, doc, row, start, windows) of the stretches whose seeds the filter has."""
     sent = texts.sparkSession.sparkContext.broadcast((found.bits, found.table))
 
     def run(batches):
         f = SeedFilter(*sent.value)
-        names = ["seed", "content", "doc", "row", "start", "windows", "bytes"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
         for batch in batches:
-            rows = []
+            parts, held = [], 0
             for doc, row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                start, run_, seed, content = stretches(text.as_py(), length)
+                keep = f.has(seed)
+                n = int(keep.sum())
+                if n:
+                    parts.append((seed[keep], content[keep], np.full(n, doc), np.full(n, row), start[keep], run_[keep]))
+                held += n
+                if held > 100_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], PLACES)
+                    parts, held = [], 0
+            if held:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], PLACES)
+
+    return texts.where("doc is not null").mapInArrow(run, ", ".join(f"{c} bigint" for c in PLACES))
+
+
+def _bytes_of(texts: DataFrame, wanted: SeedFilter, length: int) -> DataFrame:
+    """(seed, content, bytes) of the stretches whose contents the filter has, each once a batch."""
+    sent = texts.sparkSession.sparkContext.broadcast((wanted.bits, wanted.table))
+
+    def run(batches):
+        f = SeedFilter(*sent.value)
+        kinds = [pa.int64(), pa.int64(), pa.binary()]
+        for batch in batches:
+            rows = {}
+            for text in batch.column(0):
                 raw = text.as_py()
                 start, run_, seed, content = stretches(raw, length)
-                keep = np.flatnonzero(f.has(seed))
+                keep = np.flatnonzero(f.has(content))
                 for a, n, s, c in zip(start[keep].tolist(), run_[keep].tolist(), seed[keep].tolist(), content[keep].tolist(), strict=True):
-                    rows.append((s, c, doc, row, a, n, raw[a : a + n - 1 + length]))
-                if len(rows) > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
-                    rows = []
+                    if (s, c) not in rows:
+                        rows[s, c] = raw[a : a + n - 1 + length]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                columns = [[s for s, _ in rows], [c for _, c in rows], list(rows.values())]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], ["seed", "content", "bytes"])
 
-    return texts.where("doc is not null").mapInArrow(run, PLACES)
+    return texts.where("doc is not null").select("text").mapInArrow(run, "seed bigint, content bigint, bytes binary")
 
 
 def _names(*keys: np.ndarray) -> np.ndarray:
-    """Ranks from 1 of rows of keys, equal rows alike."""
-    order = np.lexsort(keys[::-1])
+    """Ranks from 1 of rows of keys (0 or more each), equal rows alike; keys that fit are packed into one."""
+    bits = [int(k.max(initial=0)).bit_length() for k in keys]
+    if sum(bits) <= 63:
+        packed = np.zeros(len(keys[0]), np.int64)
+        for k, b in zip(keys, bits, strict=True):
+            packed = (packed << b) | k
+        keys = (packed,)
+        order = np.argsort(packed)
+    else:
+        order = np.lexsort(keys[::-1])
     new = np.zeros(len(order), bool)
     for k in keys:
         s = k[order]
@@ -246,19 +276,71 @@ def least_docs(pieces: list[bytes], docs: np.ndarray, length: int) -> list[np.nd
     return np.split(out, np.cumsum(windows)[:-1])
 
 
+def _agreement(seeds: np.ndarray, sides: np.ndarray) -> np.ndarray:
+    """How many leading bytes each row of sides shares at most with another row of its seed."""
+    words = np.ascontiguousarray(sides).view(">u8").astype(np.uint64)
+    order = np.lexsort((*words.T[::-1], seeds))
+    s, x = seeds[order], sides[order]
+    differ = x[1:] != x[:-1]
+    same = np.where(differ.any(1), differ.argmax(1), x.shape[1])
+    same[s[1:] != s[:-1]] = 0
+    out = np.zeros(len(seeds), np.int64)
+    out[order[1:]] = same
+    out[order[:-1]] = np.maximum(out[order[:-1]], same)
+    return out
+
+
+def shared_parts(pieces: list[bytes], seeds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Half-open ranges of windows that another piece of the seed may have too.
+
+    What pieces have in common around their seed is no longer than what each shares with
+    its neighbours when the bytes after the seed, or those before it read backwards, are
+    sorted. Pieces in which the seed stands twice, or that hold a long run, keep all."""
+    sizes = np.array([len(p) for p in pieces])
+    first = np.cumsum(sizes) - sizes
+    text = np.frombuffer(b"".join(pieces), np.uint8)
+    sums = np.zeros(len(text) + 1, np.uint64)
+    np.cumsum(BYTE[text] * powers(BASE, len(text)), out=sums[1:])
+    grams = mix((sums[SEED:] - sums[:-SEED]) * powers(INVERSE, len(text) + 1)[: len(text) - SEED + 1]).view(np.int64)
+    owner = np.repeat(np.arange(len(pieces)), sizes)[: len(grams)]
+    inside = np.arange(len(grams)) - first[owner] <= (sizes - SEED)[owner]
+    hits = np.flatnonzero((grams == seeds[owner]) & inside)
+    times = np.bincount(owner[hits], minlength=len(pieces))
+    at = np.zeros(len(pieces), np.int64)
+    at[owner[hits]] = hits - first[owner[hits]]
+    width = -(-(length - SEED) // 8) * 8
+    padded = np.concatenate((np.zeros(width, np.uint8), text, np.zeros(width, np.uint8)))
+    steps = np.arange(width)
+    left = at[:, None] - 1 - steps
+    right = at[:, None] + SEED + steps
+    before = np.where(left >= 0, padded[width + first[:, None] + np.maximum(left, 0)], 0)
+    after = np.where(right < sizes[:, None], padded[width + first[:, None] + np.minimum(right, sizes[:, None] - 1)], 0)
+    lead, follow = _agreement(seeds, before.astype(np.uint8)), _agreement(seeds, after.astype(np.uint8))
+    lo, hi = np.maximum(0, at - lead), np.minimum(sizes - length, follow + at + SEED - length)
+    # Sides are padded alike and cut at `width`; a side that agrees to its end says nothing of what follows.
+    whole = (times != 1) | (sizes > 2 * length - SEED)
+    lo[whole], hi[whole] = 0, (sizes - length)[whole]
+    return lo, np.maximum(hi + 1, lo)
+
+
 RUNS = "seed bigint, content bigint, runs array<struct<a:int,b:int,doc:bigint>>"
-ONE_RUN = "array(named_struct('a', 0, 'b', windows, 'doc', low)) as runs"
+ONE_RUN = "array(named_struct('a', 0, 'b', int(windows), 'doc', low)) as runs"
 
 
 def _sorted_runs(rows: DataFrame, length: int) -> DataFrame:
     """(seed, content, runs) of rows(bucket, seed, content, low, bytes): runs of windows [a, b)
-    and the smallest doc that has them."""
+    that have a smaller doc elsewhere, and that doc; all windows have `low` besides."""
 
     def run(pdf):
-        out = []
-        for least in least_docs(list(map(bytes, pdf["bytes"])), pdf["low"].to_numpy(np.int64), length):
-            edge = np.r_[0, np.flatnonzero(least[1:] != least[:-1]) + 1, len(least)]
-            out.append([{"a": int(a), "b": int(b), "doc": int(least[a])} for a, b in zip(edge[:-1], edge[1:], strict=True)])
+        pieces, low = list(map(bytes, pdf["bytes"])), pdf["low"].to_numpy(np.int64)
+        lo, hi = shared_parts(pieces, pdf["seed"].to_numpy(np.int64), length)
+        some = np.flatnonzero(hi > lo)
+        out = [[{"a": 0, "b": len(p) - length + 1, "doc": int(d)}] for p, d in zip(pieces, low, strict=True)]
+        if len(some):
+            found = least_docs([pieces[i][lo[i] : hi[i] - 1 + length] for i in some], low[some], length)
+            for i, least in zip(some.tolist(), found, strict=True):
+                edge = np.r_[0, np.flatnonzero(least[1:] != least[:-1]) + 1, len(least)]
+                out[i] += [{"a": int(a + lo[i]), "b": int(b + lo[i]), "doc": int(least[a])} for a, b in zip(edge[:-1], edge[1:], strict=True) if least[a] < low[i]]
         return pd.DataFrame({"seed": pdf["seed"], "content": pdf["content"], "runs": out})
 
     return rows.groupBy("bucket").applyInPandas(run, RUNS)
@@ -267,7 +349,7 @@ def _sorted_runs(rows: DataFrame, length: int) -> DataFrame:
 def _hot_runs(rows: DataFrame, length: int) -> DataFrame:
     """The same for seeds with very many different stretches: windows are rows and their
     smallest doc an aggregate that is combined before the shuffle, so no seed is in one task."""
-    w = rows.select("seed", "content", "low", F.posexplode(F.expr(f"transform(sequence(1, windows), i -> substring(bytes, i, {length}))")).alias("a", "w"))
+    w = rows.select("seed", "content", "low", F.posexplode(F.expr(f"transform(sequence(1, int(windows)), i -> substring(bytes, i, {length}))")).alias("a", "w"))
     w = w.select("seed", "content", "low", "a", F.unhex(F.md5("w")).alias("w"))
     least = w.groupBy("w").agg(F.min("low").alias("doc"))
     j = w.join(least, "w").where("doc < low").groupBy("seed", "content").agg(F.sort_array(F.collect_list(F.expr("named_struct('a', a, 'b', a + 1, 'doc', doc)"))).alias("runs"))
@@ -280,12 +362,14 @@ def removed_spans(texts: DataFrame, length: int = 50) -> DataFrame:
     seeds = _seeds(texts, length).groupBy("seed").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
     shared = cut(seeds.where("lo < hi").select("seed"))
     found = cut(_candidates(texts, seed_filter(shared), length))
-    one = found.groupBy("seed", "content").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.first("windows").alias("windows"), F.first("bytes").alias("bytes"))
-    one = cut(one)
+    one = cut(found.groupBy("seed", "content").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.first("windows").alias("windows")))
     kinds = one.groupBy("seed").agg(F.count("*").alias("kinds"), F.min("low").alias("lo"), F.max("high").alias("hi"))
     kinds = cut(kinds.where("kinds > 1 and lo < hi").select("seed", "kinds"))
-    several = one.join(kinds, "seed")
-    buckets = max(1, -(-int(kinds.agg(F.sum("kinds")).first()[0] or 0) // BUCKET))
+    several = cut(one.join(kinds, "seed").select("seed", "content", "low", "windows", "kinds"))
+    buckets = max(1, -(-several.count() // BUCKET))
+    wanted = seed_filter(several.select(F.col("content").alias("seed")))
+    held = _bytes_of(texts, wanted, length).groupBy("seed", "content").agg(F.first("bytes").alias("bytes"))
+    several = cut(several.join(held, ["seed", "content"]))
     few = several.where(F.col("kinds") <= HOT).withColumn("bucket", F.pmod(F.xxhash64("seed"), F.lit(buckets)))
     runs = _sorted_runs(few.select("bucket", "seed", "content", "low", "bytes"), length)
     runs = runs.unionByName(_hot_runs(several.where(F.col("kinds") > HOT), length))
@@ -294,7 +378,7 @@ def removed_spans(texts: DataFrame, length: int = 50) -> DataFrame:
     top = one.select("seed", "content", "high")
     runs = cut(runs.join(top, ["seed", "content"]).where("exists(runs, r -> r.doc < high)").select("seed", "content", "runs"))
     gone = found.select("seed", "content", "doc", "row", "start").join(runs, ["seed", "content"])
-    gone = gone.select("doc", "row", F.expr(f"transform(filter(runs, r -> r.doc < doc), r -> named_struct('a', start + r.a, 'b', start + r.b - 1 + {length}))").alias("s")).where("size(s) > 0")
+    gone = gone.select("doc", "row", F.expr(f"transform(filter(runs, r -> r.doc < doc), r -> named_struct('a', int(start + r.a), 'b', int(start + r.b - 1 + {length})))").alias("s")).where("size(s) > 0")
 
     def joined(batches):
         for batch in batches:
