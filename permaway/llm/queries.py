@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from permaway.llm import decontaminate, fuzzylines, linehash, mixing, ngramjoin, quality, suffixdedup, topk, toxicity
+from permaway.llm import decontaminate, fuzzylines, licenses, linehash, mixing, ngramjoin, quality, suffixdedup, topk, toxicity
 
 QUERIES = {
+    "op1_license_scan": licenses.op1_license_scan,
     "op2_quality": quality.op2_quality,
     "op3_suffix_dedup": suffixdedup.op3_suffix_dedup,
     "op4_decontaminate": decontaminate.op4_decontaminate,
@@ -16,6 +17,7 @@ QUERIES = {
     "op10_toxicity": toxicity.op10_toxicity,
 }
 SQL = {
+    "op1_license_scan": licenses.SQL,
     "op4_decontaminate": decontaminate.SQL,
     "op6_exact_top_k": topk.SQL,
     "op8_line_hash_dedup": linehash.SQL,

@@ -15,7 +15,7 @@ from permaway.llm.decontaminate import FOLD
 from permaway.llm.quality import fold_of
 
 #: Labelled training rows of a kind that the driver holds, as lists of their distinct words.
-TOXIC_SAMPLE, CLEAN_SAMPLE = 4_000, 10_000
+TOXIC_SAMPLE, CLEAN_SAMPLE = 2_000, 4_000
 #: Alphabet of the character model: 0 for what ends a word, 1-26 letters, 27 any byte of other characters.
 SIZE = 28
 #: Signs that stand for letters.
@@ -173,7 +173,7 @@ def keys_of(word: bytes) -> list[bytes]:
     return [b"=" + word, *(word[:n] for n in (4, 5, 6, 7) if len(word) >= n)]
 
 
-def learn_lexicon(toxic: list[list[bytes]], clean: list[list[bytes]], least: float = 1.5) -> dict[bytes, float]:
+def learn_lexicon(toxic: list[tuple[bytes, ...]], clean: list[tuple[bytes, ...]], least: float = 1.5) -> dict[bytes, float]:
     """Keys that mark toxic texts, with the lower bound of their log odds ratio."""
     if not toxic or not clean:
         return {}
@@ -225,7 +225,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
     return w
 
 
-def _fresh(rows: list[list[bytes]]) -> list[list[bytes]]:
+def _fresh(rows: list[tuple[bytes, ...]]) -> list[tuple[bytes, ...]]:
     """Texts less those that share a band of smallest word hashes with one before:
     copies would lend their rare words false weight."""
     seen, out = set(), []
@@ -255,14 +255,16 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, fold: int = 5, held: int
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([sorted(r.words(t.as_py())) for t in batch.column(0)], pa.list_(pa.binary()))], ["words"])
 
-    def drawn(value: int, most: int) -> list[list[bytes]]:
+    def drawn(value: int, most: int) -> list[tuple[bytes, ...]]:
         which = lab.where("_toxic = 1" if value else "_toxic <> 1")
         share = most / max(counts.get(value, 0), 1)
         if share < 1:
             which = which.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
         text = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(which.select("doc_id"), "doc_id", "left_semi")
-        return [list(map(bytes, x)) for x in text.select("text").mapInArrow(run, "words array<binary>").toPandas().words]
+        words = text.select("text").mapInArrow(run, "words array<binary>")
+        return [tuple(known.setdefault(w, w) for w in map(bytes, row[0])) for row in words.toLocalIterator()]
 
+    known: dict[bytes, bytes] = {}
     toxic, clean = (_fresh(sorted(drawn(v, m))) for v, m in ((1, TOXIC_SAMPLE), (0, CLEAN_SAMPLE)))
     if not toxic or not clean:
         base = np.zeros(9)
