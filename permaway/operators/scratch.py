@@ -31,7 +31,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 #: Rows and bytes (as Parquet) up to which a cut table is sent to every executor.
-BROADCAST_ROWS, BROADCAST_BYTES = 400_000, 8 << 20
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 8 << 20
 
 
 def bytes_of(df: DataFrame) -> int:
