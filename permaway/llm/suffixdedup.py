@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from permaway.llm.shingles import BASE, BYTE, INVERSE, mix, powers
-from permaway.operators.scratch import cut, hint_small
+from permaway.operators.scratch import bytes_of, cut, hint_small
 
 #: Bytes of a seed; a window of `length` bytes is filed under the smallest hash of its seeds.
 SEED = 20
@@ -67,24 +67,55 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc"), F.xxhash64(t).alias("row"), t.alias("text"))
 
 
-def _seeds(texts: DataFrame, length: int) -> DataFrame:
-    """(seed, doc) of all stretches, each pair once a batch."""
+def pack(sorted_values: np.ndarray) -> bytes:
+    """Increasing numbers as differences, the low bytes of all first; planes of zeros are left out."""
+    gaps = np.diff(sorted_values, prepend=np.uint64(0))
+    width = max(1, -(-int(gaps[1:].max(initial=0)).bit_length() // 8)) if len(gaps) > 1 else 1
+    planes = gaps.view(np.uint8).reshape(-1, 8).T[:width].copy()
+    planes[:, 0] = 0
+    return int(gaps[0]).to_bytes(8, "little") + bytes([width]) + planes.tobytes()
+
+
+def unpack(blob: bytes) -> np.ndarray:
+    width = blob[8]
+    low = np.frombuffer(blob, np.uint8, offset=9).reshape(width, -1)
+    gaps = np.zeros((low.shape[1], 8), np.uint8)
+    gaps[:, :width] = low.T
+    gaps = gaps.view(np.uint64).ravel()
+    gaps[0] = int.from_bytes(blob[:8], "little")
+    return np.cumsum(gaps)
+
+
+def shared_seeds(texts: DataFrame, length: int, slice_bytes: int = 1 << 21) -> DataFrame:
+    """(seed): seeds of two texts at least.
+
+    A task sends each seed once, as sorted numbers packed by slices of their range, so
+    that a seed of very many texts counts once a task; a slice is what one task joins,
+    and the number of slices follows the size of the input."""
+    bits = max(6, (bytes_of(texts) // slice_bytes).bit_length())
 
     def run(batches):
         for batch in batches:
-            seeds, docs, held = [], [], 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                s = np.unique(stretches(text.as_py(), length)[2])
-                seeds.append(s)
-                docs.append(np.full(len(s), doc, np.int64))
-                held += len(s)
-                if held > 200_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(seeds)), pa.array(np.concatenate(docs))], ["seed", "doc"])
-                    seeds, docs, held = [], [], 0
-            if held:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(seeds)), pa.array(np.concatenate(docs))], ["seed", "doc"])
+            seeds = [np.unique(stretches(text.as_py(), length)[2].view(np.uint64)) for text in batch.column(0)]
+            if not seeds:
+                continue
+            values, counts = np.unique(np.concatenate(seeds), return_counts=True)
+            rows = []
+            for several in (False, True):
+                v = values[(counts > 1) == several]
+                cut_at = np.flatnonzero(np.diff(v >> np.uint64(64 - bits))) + 1
+                rows += [(int(x[0] >> np.uint64(64 - bits)), several, pack(x)) for x in np.split(v, cut_at) if len(x)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.bool_(), pa.binary()), strict=True)], ["slice", "several", "packed"])
+
+    def joined(pdf):
+        parts = [unpack(b) for b in pdf["packed"]]
+        parts += [unpack(b) for b, s in zip(pdf["packed"], pdf["several"], strict=True) if s]
+        values, counts = np.unique(np.concatenate(parts), return_counts=True)
+        return pd.DataFrame({"seed": values[counts > 1].view(np.int64)})
 
-    return texts.where("doc is not null").select("doc", "text").mapInArrow(run, "seed bigint, doc bigint")
+    rows = texts.select("text").mapInArrow(run, "slice bigint, several boolean, packed binary")
+    return rows.groupBy("slice").applyInPandas(joined, "seed bigint")
 
 
 class SeedFilter:
@@ -323,7 +354,7 @@ def shared_parts(pieces: list[bytes], seeds: np.ndarray, length: int) -> tuple[n
     return lo, np.maximum(hi + 1, lo)
 
 
-RUNS = "seed bigint, content bigint, runs array<struct<a:int,b:int,doc:bigint>>"
+RUNS = "seed bigint, content bigint, high bigint, runs array<struct<a:int,b:int,doc:bigint>>"
 ONE_RUN = "array(named_struct('a', 0, 'b', int(windows), 'doc', low)) as runs"
 
 
@@ -341,7 +372,7 @@ def _sorted_runs(rows: DataFrame, length: int) -> DataFrame:
             for i, least in zip(some.tolist(), found, strict=True):
                 edge = np.r_[0, np.flatnonzero(least[1:] != least[:-1]) + 1, len(least)]
                 out[i] += [{"a": int(a + lo[i]), "b": int(b + lo[i]), "doc": int(least[a])} for a, b in zip(edge[:-1], edge[1:], strict=True) if least[a] < low[i]]
-        return pd.DataFrame({"seed": pdf["seed"], "content": pdf["content"], "runs": out})
+        return pd.DataFrame({"seed": pdf["seed"], "content": pdf["content"], "high": pdf["high"], "runs": out})
 
     return rows.groupBy("bucket").applyInPandas(run, RUNS)
 
@@ -353,30 +384,30 @@ def _hot_runs(rows: DataFrame, length: int) -> DataFrame:
     w = w.select("seed", "content", "low", "a", F.unhex(F.md5("w")).alias("w"))
     least = w.groupBy("w").agg(F.min("low").alias("doc"))
     j = w.join(least, "w").where("doc < low").groupBy("seed", "content").agg(F.sort_array(F.collect_list(F.expr("named_struct('a', a, 'b', a + 1, 'doc', doc)"))).alias("runs"))
-    every = rows.select("seed", "content", F.expr(ONE_RUN))
-    return every.alias("e").join(j.alias("j"), ["seed", "content"], "left").select("seed", "content", F.concat(F.col("e.runs"), F.coalesce(F.col("j.runs"), F.expr("cast(array() as array<struct<a:int,b:int,doc:bigint>>)"))).alias("runs"))
+    every = rows.select("seed", "content", "high", F.expr(ONE_RUN))
+    return every.alias("e").join(j.alias("j"), ["seed", "content"], "left").select("seed", "content", "high", F.concat(F.col("e.runs"), F.coalesce(F.col("j.runs"), F.expr("cast(array() as array<struct<a:int,b:int,doc:bigint>>)"))).alias("runs"))
 
 
 def removed_spans(texts: DataFrame, length: int = 50) -> DataFrame:
     """(doc, row, spans array<struct<a:int,b:int>>): what goes from each text, joined where it touches."""
-    seeds = _seeds(texts, length).groupBy("seed").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
-    shared = cut(seeds.where("lo < hi").select("seed"))
+    shared = cut(shared_seeds(texts, length))
     found = cut(_candidates(texts, seed_filter(shared), length))
     one = cut(found.groupBy("seed", "content").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.first("windows").alias("windows")))
+    # Seeds with several different stretches; all else is settled by the smallest doc of a stretch.
     kinds = one.groupBy("seed").agg(F.count("*").alias("kinds"), F.min("low").alias("lo"), F.max("high").alias("hi"))
     kinds = cut(kinds.where("kinds > 1 and lo < hi").select("seed", "kinds"))
-    several = cut(one.join(kinds, "seed").select("seed", "content", "low", "windows", "kinds"))
+    kinds = hint_small(kinds)
+    several = cut(one.join(kinds, "seed").select("seed", "content", "low", "high", "windows", "kinds"))
     buckets = max(1, -(-several.count() // BUCKET))
     wanted = seed_filter(several.select(F.col("content").alias("seed")))
     held = _bytes_of(texts, wanted, length).groupBy("seed", "content").agg(F.first("bytes").alias("bytes"))
     several = cut(several.join(held, ["seed", "content"]))
     few = several.where(F.col("kinds") <= HOT).withColumn("bucket", F.pmod(F.xxhash64("seed"), F.lit(buckets)))
-    runs = _sorted_runs(few.select("bucket", "seed", "content", "low", "bytes"), length)
+    runs = _sorted_runs(few.select("bucket", "seed", "content", "low", "high", "bytes"), length)
     runs = runs.unionByName(_hot_runs(several.where(F.col("kinds") > HOT), length))
-    alone = one.join(kinds, "seed", "left_anti").where("low < high").select("seed", "content", F.expr(ONE_RUN))
+    alone = one.join(kinds, "seed", "left_anti").where("low < high").select("seed", "content", "high", F.expr(ONE_RUN))
     runs = runs.unionByName(alone)
-    top = one.select("seed", "content", "high")
-    runs = cut(runs.join(top, ["seed", "content"]).where("exists(runs, r -> r.doc < high)").select("seed", "content", "runs"))
+    runs = cut(runs.where("exists(runs, r -> r.doc < high)").select("seed", "content", "runs"))
     gone = found.select("seed", "content", "doc", "row", "start").join(runs, ["seed", "content"])
     gone = gone.select("doc", "row", F.expr(f"transform(filter(runs, r -> r.doc < doc), r -> named_struct('a', int(start + r.a), 'b', int(start + r.b - 1 + {length})))").alias("s")).where("size(s) > 0")
 
@@ -398,6 +429,14 @@ def removed_spans(texts: DataFrame, length: int = 50) -> DataFrame:
     return by_text.mapInArrow(joined, "doc bigint, row bigint, spans array<struct<a:int,b:int>>")
 
 
+def later_copies(docs: DataFrame) -> DataFrame:
+    """(doc, row) of texts that are, as a whole, the text of a smaller doc_id. They lose all and
+    give nothing that the smaller one does not give, so that only the others are searched."""
+    t = _texts(docs).where("doc is not null").select("doc", "row", F.unhex(F.md5("text")).alias("digest"))
+    first = t.groupBy("digest").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
+    return t.join(first, "digest").where("doc > low").select("doc", "row").distinct()
+
+
 def dedup_substrings(docs: DataFrame, length: int = 50) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes) and spans, one row per row of docs.
 
@@ -405,9 +444,15 @@ def dedup_substrings(docs: DataFrame, length: int = 50) -> DataFrame:
     smaller doc_id. Null texts are empty; rows without a doc_id neither lose bytes nor
     take any; rows of one id do not act on each other. Other columns are not read.
     """
-    texts = _texts(docs)
+    copies = cut(later_copies(docs)).select(F.col("doc").alias("_c"), F.col("row").alias("_k"))
+    copies = hint_small(copies)
+    all_texts = _texts(docs)
+    texts = all_texts.join(copies, (F.col("doc") == F.col("_c")) & (F.col("row") == F.col("_k")), "left_anti")
     spans = cut(removed_spans(texts, length)).select(F.col("doc").alias("_d"), F.col("row").alias("_r"), "spans")
-    joined = _texts(docs.select(F.col("doc_id"), "text")).join(hint_small(spans), (F.col("doc") == F.col("_d")) & (F.col("row") == F.col("_r")), "left").select("doc", "text", "spans")
+    joined = all_texts.join(hint_small(spans), (F.col("doc") == F.col("_d")) & (F.col("row") == F.col("_r")), "left").select("doc", "row", "text", "spans")
+    joined = joined.join(copies, (F.col("doc") == F.col("_c")) & (F.col("row") == F.col("_k")), "left")
+    whole = F.when(F.octet_length("text") >= length, F.array(F.struct(F.lit(0).alias("a"), F.octet_length("text").alias("b"))))
+    joined = joined.select("doc", "text", F.when(F.col("_c").isNotNull(), whole).otherwise(F.col("spans")).alias("spans"))
 
     def run(batches):
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"]
