@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from permaway.llm.batches import text_batches
+
 #: Every byte that is no part of a word becomes a blank and A-Z become a-z; bytes of
 #: other characters stay, so that words are [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ after lower-casing.
 FOLD = bytes(
@@ -166,6 +168,7 @@ def scan_benchmark(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", w
     windows and the ids of the items met. No shuffle: one narrow pass for each block of
     the benchmark, whose size alone bounds what is sent to executors. Also the number of passes: beyond one,
     a row of docs has a row here for each."""
+    docs = text_batches(docs)
     kind = docs.schema[key].dataType.simpleString()
     out, passes = None, 0
     for block in benchmark_blocks(benchmark):
@@ -226,6 +229,7 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10
     their words, and a line break is left. Cutting is repeated until no window is left,
     since the words on both sides of a cut may form one. A document without hits is
     returned as it is. Null texts stay. All columns are kept; n_chars follows the text."""
+    docs = text_batches(docs)
     cols, schema = docs.columns, docs.schema
     out = docs
     for block in benchmark_blocks(benchmark):

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from permaway.llm.batches import text_batches
 from permaway.llm.shingles import shingle_set
 from permaway.operators.components import connected_components
 from permaway.operators.scratch import cut, hint_small
@@ -105,6 +106,7 @@ def linked(ids: np.ndarray, sizes: np.ndarray, sets: list, num: int, den: int, s
 def _sets(docs: DataFrame, k: int, num: int, den: int, whole: bool) -> DataFrame:
     """(doc_id, n, digest, tokens): size and digest of each shingle set, with all of its
     hashes or with the prefix that two linked sets share enough of."""
+    docs = text_batches(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from permaway.llm.batches import text_batches
+
 #: Training rows of a kind, drawn by hash; the one bound on what the driver holds.
 SAMPLE = 20_000
 N_FEATURES = 24
@@ -148,6 +150,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, fold: int = 3, held: int =
 
 def featurised(docs: DataFrame, scorer: Scorer | None) -> DataFrame:
     """(doc_id, x) or, with a scorer, (doc_id, score): a narrow pass over whole texts."""
+    docs = text_batches(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()
     parts = None if scorer is None else scorer.parts
 

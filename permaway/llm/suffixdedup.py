@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from permaway.llm.batches import text_batches
 from permaway.llm.shingles import BASE, BYTE, INVERSE, mix, powers
 from permaway.operators.scratch import bytes_of, cut, hint_small
 
@@ -17,6 +18,8 @@ from permaway.operators.scratch import bytes_of, cut, hint_small
 SEED = 20
 #: Windows in one stretch at most, and bytes of a text taken at once.
 STRETCH, PIECE = 64, 1 << 22
+#: Seeds that a task gathers before it sends them.
+SEEDS_HELD = 2_000_000
 #: Stretches sorted together; a seed with more different stretches than HOT is compared window by window instead.
 BUCKET, HOT = 8_000, 512
 #: Bits of the filter of repeated seeds: sixteen for each, up to this bound.
@@ -94,19 +97,28 @@ def shared_seeds(texts: DataFrame, length: int, slice_bytes: int = 1 << 21) -> D
     and the number of slices follows the size of the input."""
     bits = max(6, (bytes_of(texts) // slice_bytes).bit_length())
 
+    def sent(seeds: list[np.ndarray]) -> pa.RecordBatch:
+        values, counts = np.unique(np.concatenate(seeds), return_counts=True)
+        rows = []
+        for several in (False, True):
+            v = values[(counts > 1) == several]
+            cut_at = np.flatnonzero(np.diff(v >> np.uint64(64 - bits))) + 1
+            rows += [(int(x[0] >> np.uint64(64 - bits)), several, pack(x)) for x in np.split(v, cut_at) if len(x)]
+        kinds = (pa.int64(), pa.bool_(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["slice", "several", "packed"])
+
     def run(batches):
+        seeds, held = [], 0
         for batch in batches:
-            seeds = [np.unique(stretches(text.as_py(), length)[2].view(np.uint64)) for text in batch.column(0)]
-            if not seeds:
-                continue
-            values, counts = np.unique(np.concatenate(seeds), return_counts=True)
-            rows = []
-            for several in (False, True):
-                v = values[(counts > 1) == several]
-                cut_at = np.flatnonzero(np.diff(v >> np.uint64(64 - bits))) + 1
-                rows += [(int(x[0] >> np.uint64(64 - bits)), several, pack(x)) for x in np.split(v, cut_at) if len(x)]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.bool_(), pa.binary()), strict=True)], ["slice", "several", "packed"])
+            for text in batch.column(0):
+                s = np.unique(stretches(text.as_py(), length)[2].view(np.uint64))
+                seeds.append(s)
+                held += len(s)
+                if held > SEEDS_HELD:
+                    yield sent(seeds)
+                    seeds, held = [], 0
+        if held:
+            yield sent(seeds)
 
     def joined(pdf):
         parts = [unpack(b) for b in pdf["packed"]]
@@ -444,6 +456,7 @@ def dedup_substrings(docs: DataFrame, length: int = 50) -> DataFrame:
     smaller doc_id. Null texts are empty; rows without a doc_id neither lose bytes nor
     take any; rows of one id do not act on each other. Other columns are not read.
     """
+    docs = text_batches(docs)
     copies = cut(later_copies(docs)).select(F.col("doc").alias("_c"), F.col("row").alias("_k"))
     copies = hint_small(copies)
     all_texts = _texts(docs)

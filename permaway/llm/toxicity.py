@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from permaway.llm.batches import text_batches
 from permaway.llm.decontaminate import FOLD
 from permaway.llm.quality import fold_of
 
@@ -38,6 +39,7 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 def trigram_counts(docs: DataFrame) -> np.ndarray:
     """Counts of symbol triples over every whole text of docs. At most SIZE^3 sums reach the driver."""
+    docs = text_batches(docs)
 
     def run(batches):
         total = np.zeros(SIZE**3, np.int64)
@@ -151,7 +153,7 @@ def disguised(raw: bytes) -> list[str]:
 class Restorer:
     """Distinct words of a text with the restored ones; keeps what it has decoded, up to a bound."""
 
-    def __init__(self, model: list[float], memory: int = 100_000):
+    def __init__(self, model: list[float], memory: int = 50_000):
         self.model, self.memory, self.seen = model, memory, {}
 
     def words(self, raw: bytes | None) -> set[bytes]:
@@ -201,7 +203,7 @@ def toxic_features(words, lexicon: dict[bytes, float], known: dict[bytes, float]
     for w in words:
         x = known.get(w)
         if x is None:
-            if len(known) > 300_000:
+            if len(known) > 100_000:
                 known.clear()
             x = known[w] = max((lexicon[k] for k in keys_of(w) if k in lexicon), default=0.0)
         if x:
@@ -285,6 +287,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, fold: int = 5, held: int
 def with_toxicity(docs: DataFrame, trained, name: str = "score") -> DataFrame:
     """docs with a column of scores from 0 to 1, in one narrow pass over whole texts.
     Null and empty texts have no words and get the score of a text in which nothing is found."""
+    docs = text_batches(docs)
     sent = docs.sparkSession.sparkContext.broadcast(trained)
     at = docs.columns.index("text")
 
