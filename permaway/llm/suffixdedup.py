@@ -21,7 +21,7 @@ STRETCH, PIECE = 64, 1 << 22
 #: Seeds that a task gathers before it sends them.
 SEEDS_HELD = 2_000_000
 #: Stretches sorted together; a seed with more different stretches than HOT is compared window by window instead.
-BUCKET, HOT = 8_000, 512
+BUCKET, HOT = 8_000, 8_000
 #: Bits of the filter of repeated seeds: sixteen for each, up to this bound.
 FILTER_BITS = 1 << 28
 
