@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
+from permaway.plans import joins, scalar
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
+for _m in (scalar, joins):
+    QUERIES |= _m.QUERIES
+    SQL |= _m.SQL

@@ -159,32 +159,37 @@ def indices_ok(indices: Column, n: Column) -> Column:
     return F.forall(indices, lambda i: (i >= 0) & (i < n))
 
 
-def ribbon(points: Column, half: Column) -> Column:
-    """Right and left points of a band along a line, in turn: the normal at an inner point is
-    the mean of both segments' normals, stretched so that the band keeps its width."""
-    n = F.size(points)
+def with_ribbon(lines, half: Column):
+    """lines(points) with band: right and left points of a band along a line, in turn. The
+    normal at an inner point is the mean of both segments' normals, stretched so that the band
+    keeps its width; a segment under a millimetre has none of its own. Directions and normals
+    are columns of their own, so that each is worked out once."""
+    n = F.size("points")
+    pair = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
 
     def unit(a, b):
         dx, dy = b["x"].cast("double") - a["x"], b["y"].cast("double") - a["y"]
         d = F.sqrt(dx * dx + dy * dy)
-        return F.struct((dx / d).alias("x"), (dy / d).alias("y"), (d >= 0.001).alias("ok"))
+        return F.struct((dx / F.greatest(d, F.lit(1e-9))).alias("x"), (dy / F.greatest(d, F.lit(1e-9))).alias("y"), (d >= 0.001).alias("ok"))
 
-    legs = F.zip_with(F.slice(points, 1, n - 1), F.slice(points, 2, n - 1), unit)
+    legs = F.zip_with(F.slice("points", 1, n - 1), F.slice("points", 2, n - 1), unit)
+    alone = lambda d: F.when(d["ok"], pair(-d["y"], d["x"])).otherwise(pair(F.lit(0.0), F.lit(1.0)))
 
-    def normal(i):
-        a, b = F.get(legs, i - 1), F.get(legs, i)
+    def joint(a, b):
         nx, ny = -(a["y"] + b["y"]), a["x"] + b["x"]
         size = F.sqrt(nx * nx + ny * ny)
-        dot = (-a["y"] * nx + a["x"] * ny) / size
+        dot = (-a["y"] * nx + a["x"] * ny) / F.greatest(size, F.lit(1e-9))
         scale = F.when(dot > 0.1, size * dot).otherwise(size)
-        pair = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
-        end = lambda d: F.when(d["ok"], pair(-d["y"], d["x"])).otherwise(pair(F.lit(0.0), F.lit(1.0)))
-        inner = F.when(a["ok"] & b["ok"], F.when(size < 0.001, pair(-a["y"], a["x"])).otherwise(pair(nx / scale, ny / scale))).when(b["ok"], end(b)).otherwise(end(a))
-        return F.when(i == 0, end(b)).when(i == n - 1, end(a)).otherwise(inner)
+        both = F.when(size < 0.001, pair(-a["y"], a["x"])).otherwise(pair(nx / F.greatest(scale, F.lit(1e-9)), ny / F.greatest(scale, F.lit(1e-9))))
+        return F.when(a["ok"] & b["ok"], both).when(b["ok"], alone(b)).otherwise(alone(a))
+
+    f = lines.where(n >= 2).withColumn("_legs", legs)
+    m = F.size("_legs")
+    inner = F.zip_with(F.slice("_legs", 1, m - 1), F.slice("_legs", 2, F.greatest(m - 1, F.lit(0))), joint)
+    f = f.withColumn("_normals", F.concat(F.array(alone(F.get("_legs", F.lit(0)))), inner, F.array(alone(F.get("_legs", m - 1)))))
 
-    def both(p, i):
-        v = normal(i)
+    def sides(p, v):
         at = lambda s: F.struct((p["x"] + s * v["x"] * half).cast("float").alias("x"), (p["y"] + s * v["y"] * half).cast("float").alias("y"))
-        return F.array(at(F.lit(-1.0)), at(F.lit(1.0)))
+        return F.array(at(-1.0), at(1.0))
 
-    return F.when(n < 2, F.slice(points, 1, 0)).otherwise(F.flatten(F.transform(points, both)))
+    return f.withColumn("band", F.flatten(F.zip_with("points", "_normals", sides))).drop("_legs", "_normals")

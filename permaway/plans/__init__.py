@@ -1 +1 @@
-"""See the modules of this folder."""
+"""Registered queries by group; each module has QUERIES and SQL."""
