@@ -20,8 +20,9 @@ SEED = 20
 STRETCH, PIECE = 64, 1 << 22
 #: Seeds that a task gathers before it sends them.
 SEEDS_HELD = 2_000_000
-#: Stretches sorted together; a seed with more different stretches than HOT is compared window by window instead.
-BUCKET, HOT = 8_000, 8_000
+#: Stretches sorted together; a seed with more than a quarter of that has a group of its own, and one
+#: with more different stretches than HOT is compared window by window instead.
+BUCKET, HOT = 2_000, 8_000
 #: Bits of the filter of repeated seeds: sixteen for each, up to this bound.
 FILTER_BITS = 1 << 28
 
@@ -414,7 +415,7 @@ def removed_spans(texts: DataFrame, length: int = 50) -> DataFrame:
     wanted = seed_filter(several.select(F.col("content").alias("seed")))
     held = _bytes_of(texts, wanted, length).groupBy("seed", "content").agg(F.first("bytes").alias("bytes"))
     several = cut(several.join(held, ["seed", "content"]))
-    few = several.where(F.col("kinds") <= HOT).withColumn("bucket", F.pmod(F.xxhash64("seed"), F.lit(buckets)))
+    few = several.where(F.col("kinds") <= HOT).withColumn("bucket", F.when(F.col("kinds") > BUCKET // 4, F.col("seed")).otherwise(F.pmod(F.xxhash64("seed"), F.lit(buckets))))
     runs = _sorted_runs(few.select("bucket", "seed", "content", "low", "high", "bytes"), length)
     runs = runs.unionByName(_hot_runs(several.where(F.col("kinds") > HOT), length))
     alone = one.join(kinds, "seed", "left_anti").where("low < high").select("seed", "content", "high", F.expr(ONE_RUN))
