@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from permaway.plans import joins, scalar
+from permaway.plans import joins, rail, scalar
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-for _m in (scalar, joins):
+for _m in (scalar, joins, rail):
     QUERIES |= _m.QUERIES
     SQL |= _m.SQL

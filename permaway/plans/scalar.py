@@ -184,7 +184,7 @@ m AS (SELECT *, -(uay+uby) AS nx, uax+ubx AS ny, sqrt((uay+uby)*(uay+uby)+(uax+u
 k AS (SELECT *, (-uay*nx + uax*ny)/s AS dot FROM m),
 q AS (SELECT way_id, i, x, y, half, CASE WHEN i = 0 THEN -uby WHEN i = n-1 THEN -uay WHEN s < 0.001 THEN -uay WHEN dot > 0.1 THEN nx/(s*dot) ELSE nx/s END AS vx,
  CASE WHEN i = 0 THEN ubx WHEN i = n-1 THEN uax WHEN s < 0.001 THEN uax WHEN dot > 0.1 THEN ny/(s*dot) ELSE ny/s END AS vy FROM k)
-SELECT way_id, (2*i + k)::BIGINT AS vertex, round(x + (2*k-1)*vx*half, 1) AS x, round(y + (2*k-1)*vy*half, 1) AS y FROM q, (SELECT range AS k FROM range(2)) r"""
+SELECT way_id, (2*i + k)::BIGINT AS vertex, round((x + (2*k-1)*vx*half)::FLOAT::DOUBLE, 1) AS x, round((y + (2*k-1)*vy*half)::FLOAT::DOUBLE, 1) AS y FROM q, (SELECT range AS k FROM range(2)) r"""
 )
 
 
