@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from permaway.plans import joins, rail, scalar
+from permaway.plans import joins, meshing, rail, scalar, stores
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-for _m in (scalar, joins, rail):
+for _m in (scalar, joins, rail, meshing, stores):
     QUERIES |= _m.QUERIES
     SQL |= _m.SQL
