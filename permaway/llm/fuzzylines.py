@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from permaway.operators.components import connected_components
@@ -15,10 +15,6 @@ MASKS = tuple(int.from_bytes((x * 0x9E3779B97F4A7C15 % (1 << 63)).to_bytes(8, "b
 BITS, AGREE = 5, 7
 
 
-def folded(line: Column) -> Column:
-    return F.trim(F.lower(line))
-
-
 def shingles(line: str, k: int) -> str:
     """SQL of the 64-bit hashes of a folded line's distinct k-character shingles; a shorter line is its own one."""
     return f"array_distinct(transform(CASE WHEN length({line}) < {k} THEN array({line}) ELSE regexp_extract_all({line}, '(?s)(?=(.{{{k}}}))', 1) END, x -> xxhash64(x)))"
@@ -42,9 +38,9 @@ def agreeing(x: str, y: str) -> str:
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, pos, line) of the lines that hold something, folded."""
-    u = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    return u.select("doc_id", "pos", folded(F.col("line")).alias("line")).where("line <> ''")
+    """(doc_id, pos, line) of the lines that hold something: lower case, blanks at the ends off."""
+    u = docs.select("doc_id", F.posexplode(F.transform(F.split(F.lower("text"), "\n", -1), F.trim)).alias("pos", "line"))
+    return u.where("line <> ''")
 
 
 def candidate_pairs(distinct: DataFrame) -> DataFrame:

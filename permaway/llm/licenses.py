@@ -82,8 +82,8 @@ def best_lines(docs: DataFrame, key: str = "doc_id", templates: Templates | None
     if short:
         tests.append(lambda c: c.rlike("(?<![a-z0-9])(?:" + "|".join(short) + ")(?![a-z0-9])"))
     has = lambda c: _any([f(c) for f in tests])
-    low = docs.select(F.col(key).alias("_key"), F.lower("text").alias("text")).where(has(F.col("text")))
-    lines = low.select("_key", F.explode(F.split("text", "\n")).alias("line")).where(has(F.col("line")))
+    # Lowered and split before the filter, which else would lower the text once for each anchor.
+    lines = docs.select(F.col(key).alias("_key"), F.explode(F.split(F.lower("text"), "\n")).alias("line")).where(has(F.col("line")))
     idf, known = _map(t.idf), F.array(*[F.lit(x) for x in t.idf])
     lines = lines.select("_key", F.regexp_extract_all("line", F.lit("([a-z0-9]+)"), 1).alias("terms"))
     lines = lines.withColumn("in", F.filter("terms", lambda x: F.array_contains(known, x)))
