@@ -24,7 +24,7 @@ def write_state(path: str, sections: dict[str, DataFrame], country: str, map_has
 
 
 def read_state(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    manifest = spark.read.parquet(f"{path}/manifest".replace("manifest", "manifest"))
+    manifest = spark.read.parquet(f"{path}/manifest")
     rows = manifest.collect()  # one row for each section
     if any(r.magic != MAGIC or r.version != VERSION for r in rows):
         raise ValueError(f"{path} holds no state of version {VERSION}")
