@@ -66,6 +66,12 @@ def _map(values: dict[str, float]) -> Column:
     return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])
 
 
+def _once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """(_key, columns), each worked out once a row: the generator keeps filters and references
+    that follow from being replaced by the expressions themselves."""
+    return rows.select("_key", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def _adder(idf: Column, weights: Column):
     """Adds a term's part of the scalar product of a line and a template."""
     return lambda a, x: a + F.element_at(idf, x) * F.coalesce(F.element_at(weights, x), F.lit(0.0))
@@ -85,19 +91,21 @@ def best_lines(docs: DataFrame, key: str = "doc_id", templates: Templates | None
     # Lowered and split before the filter, which else would lower the text once for each anchor.
     lines = docs.select(F.col(key).alias("_key"), F.explode(F.split(F.lower("text"), "\n")).alias("line")).where(has(F.col("line")))
     idf, known = _map(t.idf), F.array(*[F.lit(x) for x in t.idf])
-    lines = lines.select("_key", F.regexp_extract_all("line", F.lit("([a-z0-9]+)"), 1).alias("terms"))
-    lines = lines.withColumn("in", F.filter("terms", lambda x: F.array_contains(known, x)))
-    lines = lines.withColumn("out", F.filter("terms", lambda x: ~F.array_contains(known, x)))
+    terms = F.regexp_extract_all("line", F.lit("([a-z0-9]+)"), 1)
+    lines = _once(lines, terms=terms)
+    known_terms, others = F.filter("terms", lambda x: F.array_contains(known, x)), F.filter("terms", lambda x: ~F.array_contains(known, x))
+    lines = _once(lines, **{"in": known_terms, "out": others})
     tf = lambda x: F.size(F.filter("in", lambda y: y == x)).cast("double") * F.element_at(idf, x)
-    lines = lines.withColumn("in2", F.aggregate(F.array_distinct("in"), F.lit(0.0), lambda a, x: a + tf(x) * tf(x)))
+    squares = F.aggregate(F.transform(F.array_distinct("in"), tf), F.lit(0.0), lambda a, x: a + x * x)
     scores = []
     for name, weights in t.weights:
         own = _map(weights)
 
         dot = F.aggregate("in", F.lit(0.0), _adder(idf, own))
         scores.append(F.struct(dot.alias("dot"), F.lit(name).alias("license")))
-    lines = lines.withColumn("best", F.array_max(F.array(*scores)))
-    least = F.sqrt(F.col("in2") + F.size(F.array_distinct("out")) * F.lit(t.unknown**2))
+    least = F.sqrt(squares + F.size(F.array_distinct("out")) * F.lit(t.unknown**2))
+    lines = _once(lines, out=F.col("out"), in2=squares, best=F.array_max(F.array(*scores)), least=least)
+    least = F.col("least")
     lines = lines.where((least > 0) & (F.col("best.dot") >= F.lit(threshold * 0.999) * least))
     # Squares of the counts of terms outside the templates, by one walk over them in order.
     walk = F.aggregate(
