@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from permaway.functions import ed25519
+from permaway.sources.container import damaged
+
 #: Version of the layout; a state of another version counts as stale.
 VERSION, MAGIC = 5, "permaway-state"
 
@@ -55,35 +58,10 @@ def map_hash(blocks: DataFrame) -> str:
     return fingerprint(blocks.select("tile_id", "lod", "sha256"))
 
 
-def new_keys(spark: SparkSession) -> tuple[bytes, bytes]:
-    """(private, public) Ed25519 keys, encoded, made by the JVM on the driver."""
-    pair = spark._jvm.java.security.KeyPairGenerator.getInstance("Ed25519").generateKeyPair()
-    return bytes(pair.getPrivate().getEncoded()), bytes(pair.getPublic().getEncoded())
-
-
-def sign(spark: SparkSession, private: bytes, text: str) -> bytes:
-    j = spark._jvm.java.security
-    key = j.KeyFactory.getInstance("Ed25519").generatePrivate(j.spec.PKCS8EncodedKeySpec(bytearray(private)))
-    s = j.Signature.getInstance("Ed25519")
-    s.initSign(key)
-    s.update(bytearray(text.encode()))
-    return bytes(s.sign())
-
-
-def verify(spark: SparkSession, public: bytes, text: str, signature: bytes | None) -> bool:
-    """False without a signature, or where it is not of this key and text."""
-    if not signature:
-        return False
-    j = spark._jvm.java.security
-    key = j.KeyFactory.getInstance("Ed25519").generatePublic(j.spec.X509EncodedKeySpec(bytearray(public)))
-    s = j.Signature.getInstance("Ed25519")
-    s.initVerify(key)
-    s.update(bytearray(text.encode()))
-    return bool(s.verify(bytearray(signature)))
-
+def sign_map(blocks: DataFrame, private: bytes) -> bytes:
+    return ed25519.sign(private, map_hash(blocks).encode())
 
-def verify_map(spark: SparkSession, blocks: DataFrame, public: bytes, signature: bytes | None) -> bool:
-    """The signature of the index, then every block against its hash."""
-    from permaway.sources.container import damaged
 
-    return verify(spark, public, map_hash(blocks), signature) and damaged(blocks).isEmpty()
+def verify_map(blocks: DataFrame, public: bytes, signature: bytes | None) -> bool:
+    """The signature of the index, then every block against its hash; a map without one fails."""
+    return ed25519.verify(public, map_hash(blocks).encode(), signature) and damaged(blocks).isEmpty()
