@@ -32,8 +32,9 @@ SYMBOL[128:] = 27
 _LETTER = np.isin(np.arange(256), [*range(97, 123), *range(65, 91)])
 _SIGN = np.isin(np.arange(256), [ord(c) for c in LEET])
 _GAP = np.isin(np.arange(256), [ord(c) for c in GAPS])
-#: 1 letter, 2 sign, 4 gap, 0 others.
-CLASS = (_LETTER * 1 + _SIGN * 2 + _GAP * 4).astype(np.uint8)
+_DIGIT = np.isin(np.arange(256), [ord(c) for c in "0123456789" if c not in LEET])
+#: 1 letter, 2 sign, 4 gap, 8 digits that are no signs, 0 others.
+CLASS = (_LETTER * 1 + _SIGN * 2 + _GAP * 4 + _DIGIT * 8).astype(np.uint8)
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -132,7 +133,9 @@ def disguised(raw: bytes) -> list[str]:
         done = b
         if b - a <= 60:
             out.append(bytes(text[a:b]).decode("ascii").rstrip("!|$+"))
-    alone = word[1:-1] & ~word[:-2] & ~word[2:]
+    # A sign at the end of a word is punctuation, so that a letter before it may stand alone.
+    solid = (letter | (kind == 8)) | (word & np.append(word[1:], False))
+    alone = word[1:-1] & ~solid[:-2] & ~solid[2:]
     # two single letters with one gap between, at i and i + 2 of the padded text
     pair = np.zeros(len(text), bool)
     pair[1:-3] = alone[:-2] & alone[2:] & ((kind[2:-2] & 4) > 0)
