@@ -86,7 +86,8 @@ def build_network(spark: SparkSession, store: str, country: str = "PL", refs: Da
     platforms = N.snap(rings.select(F.col("way_id").alias("platform_id"), F.col("c.x").alias("x"), F.col("c.y").alias("y"), "points"), "platform_id", nodes, 500.0).where("node_id is not null")
     entries = N.platform_entries(platforms.select("platform_id", "points"), cut(N.with_arc(tracks, edges, nodes)))
     gap = X.nearest_other(stations.select("station_id", "x", "y"), "station_id", 2000.0).select("station_id", (F.col("distance") / 2).alias("half_gap"))
-    extents = N.station_extents(stations.join(gap, "station_id", "left").withColumn("platform_lines", F.lit(None).cast("string")), nodes, edges)
+    lines_at = N.platform_lines(platforms, entries, stations, edges, stamps)
+    extents = N.station_extents(stations.join(gap, "station_id", "left").join(lines_at, "station_id", "left"), nodes, edges)
     sections = N.block_sections(edges, stations.where("kind = 'station' and node_id is not null").select("node_id"))
     regions = f.where((F.col("layer") == 10) & name("name").isNotNull()).select("way_id", name("name").alias("name"), name("admin_level").alias("level"), "points")
     edges = edges.join(stamps, "edge_id", "left").join(extents.select("edge_id", "station_id"), "edge_id", "left")

@@ -274,6 +274,15 @@ def station_extents(stations: DataFrame, nodes: DataFrame, edges: DataFrame, mos
     return edges.select("edge_id", "pair").join(pairs, "pair").select("edge_id", "b.station_id", "b.distance")
 
 
+def platform_lines(platforms: DataFrame, entries: DataFrame, stations: DataFrame, edges: DataFrame, stamps: DataFrame, radius: float = 1500.0) -> DataFrame:
+    """(station_id, platform_lines): the lines of the tracks at the platforms that are nearest to
+    a station, joined by semicolons. platforms(platform_id, x, y), stamps(edge_id, track_index)."""
+    home = nearest(platforms.select("platform_id", F.col("x").alias("lx"), F.col("y").alias("ly")), "platform_id", stations.select("station_id", F.col("x").alias("rx"), F.col("y").alias("ry")), "station_id", radius)
+    lines = edges.join(stamps, "edge_id").where("line_ref is not null").select("track_index", F.explode(F.split("line_ref", ";")).alias("line")).where("line <> ''").distinct()
+    j = entries.select("platform_id", "track_index").join(home.where("station_id is not null"), "platform_id").join(lines, "track_index")
+    return j.groupBy("station_id").agg(F.array_join(F.array_sort(F.collect_set("line")), ";").alias("platform_lines"))
+
+
 SECTION = "seed_edge bigint, start_node bigint, end_node bigint, length double, max_speed int, edge_count int, start_boundary string, end_boundary string, edge_ids array<bigint>"
 
 

@@ -154,8 +154,10 @@ def extents(spark, d):
     n, e = B.graph(spark, d)
     s = B.stations(spark, d, n)
     gap = X.nearest_other(s, "station_id", 2000.0).select("station_id", (F.col("distance") / 2).alias("half_gap"))
-    s = cut(s.join(gap, "station_id", "left").withColumn("platform_lines", F.lit(None).cast("string")))
-    return N.station_extents(s, n, e)
+    t, stamps = N.build_tracks(n, e)
+    p = platform_rings(spark, d)
+    lines = N.platform_lines(p, N.platform_entries(p.select("platform_id", "points"), cut(N.with_arc(t, e, n)), 900.0), s, e, stamps)
+    return N.station_extents(cut(s.join(gap, "station_id", "left").join(lines, "station_id", "left")), n, e)
 
 
 @query("g5_g6_a21_station_extents")
