@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from permaway.functions import geometry as G
 from permaway.functions import tags as T
+from permaway.operators.scratch import cut
 
 
 def centre(nodes: DataFrame) -> DataFrame:
@@ -92,9 +93,11 @@ def with_lods(rows: DataFrame) -> DataFrame:
 
 def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
     """Consecutive numbers from 0 in an order that has no ties, without one task that sees all
-    rows: range partitions are numbered each for itself and shifted by the counts before."""
+    rows: range partitions are numbered each for itself and shifted by the counts before. The
+    partitions are written down first, since their bounds are sampled and may come out
+    otherwise when they are worked out again."""
     parts = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
-    parts = parts.withColumn("_n", F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1)
+    parts = cut(parts.withColumn("_n", F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1))
     per = parts.groupBy("_p").agg(F.count("*").alias("_c"))
     shift = per.withColumn("_s", F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_c")
     return parts.join(F.broadcast(shift), "_p").withColumn(name, F.col("_n") + F.col("_s")).drop("_p", "_n", "_s")

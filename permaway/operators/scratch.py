@@ -21,15 +21,28 @@ def scratch_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+_written: list[str] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: later jobs start
     from the files, whichever executors have been lost meanwhile."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/cut-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the tables that cut() has written, once results that read them are stored. How many."""
+    conf, done = spark.sparkContext._jsc.hadoopConfiguration(), 0
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        done += bool(path.getFileSystem(conf).delete(path, True))
+    return done
+
+
 #: Rows and bytes (as Parquet) up to which a cut table is sent to every executor.
 BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 8 << 20
 
