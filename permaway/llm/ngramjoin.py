@@ -227,12 +227,13 @@ def near_groups(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> D
     A set holds the distinct k-word shingles of the whole text; two documents link when
     |x and y| / |x or y| >= num / den. component_id is the smallest doc_id reachable.
     Null and empty texts, and texts without words, have an empty set and stay alone.
-    Rows of equal sets are one class and linked by that; repeated ids count once in it.
+    Rows of equal sets are one class and linked by that; repeated ids count once in it. A
+    null id never names a component that has others.
     Other columns are not read; an empty table gives an empty result.
     """
     s = cut(_sets(docs, k, num, den, False))
-    classes = s.where("n > 0").groupBy("digest").agg(F.min(F.struct("doc_id", "n", "tokens")).alias("x"))
-    classes = cut(classes.select(F.monotonically_increasing_id().alias("id"), "digest", "x.*"))
+    classes = s.where("n > 0").groupBy("digest").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "n", "tokens")).alias("x"))
+    classes = cut(classes.select(F.monotonically_increasing_id().alias("id"), "digest", "x.doc_id", "x.n", "x.tokens"))
     alive = cut(alive_classes(classes, num, den).join(classes.select("id", "doc_id", "digest"), "id"))
     which = hint_small(alive.select("id", F.col("doc_id").alias("_d"), F.col("digest").alias("_g")))
     ids = hint_small(cut(alive.select(F.col("doc_id").alias("_d")).distinct()))
