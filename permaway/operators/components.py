@@ -13,14 +13,15 @@ def _star(e: DataFrame, large: bool) -> DataFrame:
 
     Large-star looks at all neighbours and moves the larger ones; small-star looks
     at the smaller ones and moves those and the node itself. The smallest is an
-    aggregate joined back, so a node with very many neighbours is never gathered
-    in one task.
+    aggregate, combined before its shuffle and written down, and the edges are joined
+    with that table: a join of two plain shuffles, whose hot partitions Spark splits, so
+    a node with very many neighbours is never gathered in one task.
     """
     if large:
         e = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         e = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    low = e.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    low = cut(e.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
     j = e.join(low, "u")
     if large:
         out = j.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
