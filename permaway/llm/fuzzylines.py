@@ -89,7 +89,8 @@ def gone_lines(docs: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame
     first = distinct = cut(first)
     pairs = cut(candidate_pairs(distinct))
     groups = connected_components(similar_lines(lines, distinct, pairs, threshold, k), "a", "b")
-    heads = groups.join(first.select(F.col("id").alias("node"), "first"), "node").groupBy("component").agg(F.min("first").alias("head"))
+    # Written down, so that the join of a component's lines with its head can be split.
+    heads = cut(groups.join(first.select(F.col("id").alias("node"), "first"), "node").groupBy("component").agg(F.min("first").alias("head")))
     moved = groups.join(heads, "component").select(F.col("node").alias("id"), "head")
     keep = first.join(moved, "id", "left").select("h1", "h2", "n", F.coalesce("head", "first").alias("keep"), "first", "copies")
     keep = cut(keep.where("copies > 1 or keep <> first").select("h1", "h2", "n", F.col("keep.doc_id").alias("keep_id"), F.col("keep.pos").alias("keep_pos")))
