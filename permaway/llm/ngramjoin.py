@@ -147,7 +147,8 @@ def alive_classes(classes: DataFrame, num: int, den: int) -> DataFrame:
     size and one more; the smaller size is num / den of the larger at least.
     """
     t = classes.select("id", "n", F.explode("tokens").alias("token"))
-    shared = t.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
+    # Aggregates that hot shingles are joined with are written down, so that Spark can split the joins.
+    shared = cut(t.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token"))
     met = t.join(shared, "token").groupBy("id").agg(F.count("*").alias("c"), F.first("n").alias("n"))
     need = F.floor(F.floor(F.col("n") * F.lit(num) / F.lit(den)) * F.lit(EXTRA.numerator) / F.lit(EXTRA.denominator))
     return met.where(F.col("c") > need).select("id")
@@ -160,13 +161,13 @@ def blocks_of(full: DataFrame, num: int, den: int) -> DataFrame:
     hold what only near copies share. Each shingle of a prefix ties its sets to the
     smallest of them: as many rows as prefixes have, not pairs."""
     t = full.select("id", "n", F.explode("tokens").alias("token"))
-    df = t.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    df = cut(t.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"))
     own = t.join(df, "token").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("s"))
     # Shingles of one set alone come first and match nothing; what is left of the prefix follows them.
     left = F.expr(f"n - cast(ceil(n * {num} / {den}) as bigint) + 1 - (n - size(s))")
     pre = own.withColumn("left", left).where("left > 0").select("id", F.explode(F.expr("slice(s, 1, int(least(left, size(s))))")).alias("x")).select("id", "x.token")
     pre = cut(pre)
-    low = pre.groupBy("token").agg(F.min("id").alias("low"), F.count("*").alias("c")).where("c > 1")
+    low = cut(pre.groupBy("token").agg(F.min("id").alias("low"), F.count("*").alias("c")).where("c > 1").select("token", "low"))
     ties = pre.join(low, "token").where("id <> low").select("id", "low").distinct()
     return connected_components(ties, "id", "low").select(F.col("node").alias("id"), F.col("component").alias("block"))
 

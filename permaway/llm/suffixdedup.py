@@ -446,7 +446,7 @@ def later_copies(docs: DataFrame) -> DataFrame:
     """(doc, row) of texts that are, as a whole, the text of a smaller doc_id. They lose all and
     give nothing that the smaller one does not give, so that only the others are searched."""
     t = _texts(docs).where("doc is not null").select("doc", "row", F.unhex(F.md5("text")).alias("digest"))
-    first = t.groupBy("digest").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
+    first = cut(t.groupBy("digest").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high"))
     return t.join(first, "digest").where("doc > low").select("doc", "row").distinct()
 
 
