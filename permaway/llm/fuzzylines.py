@@ -10,9 +10,6 @@ from permaway.operators.scratch import cut, hint_small
 
 #: Fixed masks of the MinHash permutations (hash XOR mask); two to a band.
 MASKS = tuple(int.from_bytes((x * 0x9E3779B97F4A7C15 % (1 << 63)).to_bytes(8, "big"), "big") for x in range(1, 13))
-#: Bits of a minimum in a sketch, and on how many of the twelve minima a pair must agree
-#: to be checked; of the similar pairs of the largest test table all but 0.3 % do.
-BITS, AGREE = 5, 7
 
 
 def shingles(line: str, k: int) -> str:
@@ -21,20 +18,13 @@ def shingles(line: str, k: int) -> str:
 
 
 def signature(line: str) -> str:
-    """SQL of struct(bands, sketch). The permutations run over the six-character shingles
+    """SQL of struct(bands). The permutations run over the six-character shingles
     that begin words, a fifth of all, so that signatures stay cheap; the exact check that
-    follows takes every shingle. A band is made of two minima and its number; sketch holds the
-    last five bits of each of the twelve."""
+    follows takes every shingle. A band is made of two minima and its number."""
     h = f"transform(regexp_extract_all({line}, '(?s)(?:^|(?<=\\\\s))(?=(\\\\S.{{0,5}}))', 1), x -> xxhash64(x))"
     low = ", ".join(f"array_min(transform(h, x -> x ^ {m}L))" for m in MASKS)
     bands = ", ".join(f"((m[{i}] ^ shiftleft(m[{i + 1}], 7) ^ shiftrightunsigned(m[{i + 1}], 57)) & -8L) | {i // 2}L" for i in range(0, len(MASKS), 2))
-    sketch = " | ".join(f"shiftleft(m[{i}] & 31L, {BITS * i})" for i in range(len(MASKS)))
-    return f"element_at(transform(transform(array({h}), h -> array({low})), m -> struct(array({bands}) as bands, {sketch} as sketch)), 1)"
-
-
-def agreeing(x: str, y: str) -> str:
-    """SQL of the number of minima on which two sketches agree."""
-    return " + ".join(f"int(({x} ^ {y}) & {31 << (BITS * i)}L = 0)" for i in range(len(MASKS)))
+    return f"element_at(transform(transform(array({h}), h -> array({low})), m -> struct(array({bands}) as bands)), 1)"
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -51,12 +41,12 @@ def candidate_pairs(distinct: DataFrame) -> DataFrame:
     most 2n pairs. Leaders are aggregates combined before the shuffle and joined back,
     so that the lines of a hot bucket are spread over tasks.
     """
-    b = distinct.select("id", "sketch", F.explode("bands").alias("band"))
-    one, two = F.min(F.struct("id", "sketch")).alias("one"), F.min(F.struct(F.xxhash64("id").alias("h"), "id", "sketch")).alias("two")
+    b = distinct.select("id", F.explode("bands").alias("band"))
+    one, two = F.min(F.struct("id")).alias("one"), F.min(F.struct(F.xxhash64("id").alias("h"), "id")).alias("two")
     g = b.groupBy("band").agg(one, two, F.count("*").alias("c"))
     g = cut(g.where("c > 1").drop("c"))
-    j = b.join(g, "band").select("id", "sketch", F.explode(F.array(F.struct("one.id", "one.sketch"), F.struct("two.id", "two.sketch"))).alias("o"))
-    j = j.where(f"id <> o.id and {agreeing('sketch', 'o.sketch')} >= {AGREE}")
+    j = b.join(g, "band").select("id", F.explode(F.array(F.struct("one.id"), F.struct("two.id"))).alias("o"))
+    j = j.where("id <> o.id")
     return j.select(F.least("id", "o.id").alias("a"), F.greatest("id", "o.id").alias("b")).distinct()
 
 
@@ -83,9 +73,9 @@ def gone_lines(docs: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame
     lines = lines_of(docs)
     key = [F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), F.length("line").alias("n")]
     all_lines = cut(lines.select("doc_id", "pos", *key, F.expr(signature("line")).alias("sig")).select("doc_id", "pos", "h1", "h2", "n", "sig.*"))
-    least = F.min(F.struct("doc_id", "pos", "bands", "sketch")).alias("least")
+    least = F.min(F.struct("doc_id", "pos", "bands")).alias("least")
     first = all_lines.groupBy("h1", "h2", "n").agg(least, F.count("*").alias("copies"))
-    first = first.select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "n", "copies", F.struct("least.doc_id", "least.pos").alias("first"), F.col("least.bands").alias("bands"), F.col("least.sketch").alias("sketch"))
+    first = first.select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "n", "copies", F.struct("least.doc_id", "least.pos").alias("first"), F.col("least.bands").alias("bands"))
     first = distinct = cut(first)
     pairs = cut(candidate_pairs(distinct))
     groups = connected_components(similar_lines(lines, distinct, pairs, threshold, k), "a", "b")

@@ -319,6 +319,23 @@ def test_fuzzy_line_edges(spark, odd, empty):
     assert fuzzylines.dedup_lines_fuzzy(empty).count() == 0
 
 
+def test_edits_at_word_starts_are_found(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(150):
+        words = ["".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(3, 10))) for _ in range(30)]
+        near, sets = " ".join(words), lambda t: {t[a : a + 5] for a in range(len(t) - 4)}
+        for w in rng.permutation(30):
+            words[w] = "#" + words[w][1:]
+            t, x = " ".join(words), sets(" ".join(words))
+            if len(x & sets(near)) < 0.8 * len(x | sets(near)):
+                break
+            last = t
+        rows += [(2 * i, near, "s"), (2 * i + 1, last, "s")]
+    got = fuzzylines.dedup_lines_fuzzy(make(spark, rows))
+    assert got.where("n_removed > 0").count() >= 0.93 * 150
+
+
 # 8 line hashing
 
 
