@@ -10,21 +10,49 @@ from permaway.operators.scratch import cut, hint_small
 
 #: Fixed masks of the MinHash permutations (hash XOR mask); two to a band.
 MASKS = tuple(int.from_bytes((x * 0x9E3779B97F4A7C15 % (1 << 63)).to_bytes(8, "big"), "big") for x in range(1, 13))
+#: A line of fewer distinct shingles than the second number has the minima of permutations, one
+#: of the first number or more those of twelve ranges of hashes; lines between have both. Sets
+#: that are alike by 0.8 differ in size by a quarter at most, so they have one kind in common.
+RANGES_FROM, MASKS_BELOW = 32, 40
+#: Where the twelve ranges of hashes begin.
+MARKS = tuple(-(1 << 63) + i * ((1 << 64) // len(MASKS)) for i in range(len(MASKS)))
 
 
 def shingles(line: str, k: int) -> str:
-    """SQL of the 64-bit hashes of a folded line's distinct k-character shingles; a shorter line is its own one."""
-    return f"array_distinct(transform(CASE WHEN length({line}) < {k} THEN array({line}) ELSE regexp_extract_all({line}, '(?s)(?=(.{{{k}}}))', 1) END, x -> xxhash64(x)))"
+    """SQL of the 64-bit hashes of a folded line's distinct k-character shingles; a shorter line is its own one.
 
+    Four bytes to a character, so that a shingle is a slice."""
+    each = f"transform(sequence(1, 4 * (length({line}) - {k}) + 1, 4), i -> xxhash64(substring(b, i, {4 * k})))"
+    return f"CASE WHEN length({line}) < {k} THEN array(xxhash64({line})) ELSE array_distinct(element_at(transform(array(encode({line}, 'UTF-32')), b -> {each}), 1)) END"
 
-def signature(line: str) -> str:
-    """SQL of struct(bands). The permutations run over the six-character shingles
-    that begin words, a fifth of all, so that signatures stay cheap; the exact check that
-    follows takes every shingle. A band is made of two minima and its number."""
-    h = f"transform(regexp_extract_all({line}, '(?s)(?:^|(?<=\\\\s))(?=(\\\\S.{{0,5}}))', 1), x -> xxhash64(x))"
-    low = ", ".join(f"array_min(transform(h, x -> x ^ {m}L))" for m in MASKS)
-    bands = ", ".join(f"((m[{i}] ^ shiftleft(m[{i + 1}], 7) ^ shiftrightunsigned(m[{i + 1}], 57)) & -8L) | {i // 2}L" for i in range(0, len(MASKS), 2))
-    return f"element_at(transform(transform(array({h}), h -> array({low})), m -> struct(array({bands}) as bands)), 1)"
+
+def _bands(m: str, first: int) -> str:
+    """SQL of the bands of minima m: two of them and the band's number, from first on."""
+    return ", ".join(f"((({m})[{i}] ^ shiftleft(({m})[{i + 1}], 7) ^ shiftrightunsigned(({m})[{i + 1}], 57)) & -16L) | {first + i // 2}L" for i in range(0, len(MASKS), 2))
+
+
+def with_bands(lines: DataFrame, k: int) -> DataFrame:
+    """lines with size, the number of distinct shingles, and bands in place of line.
+
+    All shingles are taken, so that a change anywhere in a line counts alike and a script
+    without blanks has as many as any. Twelve permutations of a long line's hashes would cost
+    most of the run: its hashes are sorted once with the marks among them, and what follows a
+    mark is the least of its range. An empty range has the minimum of its permutation.
+    """
+    own = [c for c in lines.columns if c != "line"]
+    x = lines.select(*own, F.expr(shingles("line", k)).alias("s")).withColumn("size", F.size("s"))
+    marks = ", ".join("(-9223372036854775807L - 1L)" if m == -(1 << 63) else f"{m}L" for m in MARKS)
+    x = x.withColumn("o", F.expr(f"CASE WHEN size >= {RANGES_FROM} THEN sort_array(concat(s, array({marks}))) END"))
+    after = ", ".join(f"get(o, int(array_position(o, {m})))" for m in marks.split(", "))
+    x = x.withColumn("o", F.expr(f"CASE WHEN o IS NOT NULL THEN array({after}) END"))
+    low = [f"array_min(transform(s, x -> x ^ {m}L))" for m in MASKS]
+    ends = [*marks.split(", ")[1:], "NULL"]
+    filled = ", ".join(f"CASE WHEN o[{i}] IS NULL OR o[{i}] <=> {e} THEN {low[i]} ELSE o[{i}] END" for i, e in enumerate(ends))
+    x = x.withColumn("o", F.expr(f"CASE WHEN o IS NOT NULL THEN array({filled}) END"))
+    x = x.withColumn("m", F.expr(f"CASE WHEN size < {MASKS_BELOW} THEN array({', '.join(low)}) END"))
+    none = "cast(array() as array<bigint>)"
+    bands = [f"CASE WHEN {c} IS NULL THEN {none} ELSE array({_bands(c, first)}) END" for c, first in (("m", 0), ("o", len(MASKS) // 2))]
+    return x.select(*own, "size", F.expr(f"concat({', '.join(bands)})").alias("bands"))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -33,23 +61,45 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return u.where("line <> ''")
 
 
-def candidate_pairs(distinct: DataFrame) -> DataFrame:
-    """(a, b) with a < b of lines that share a band value.
+def _alike_in_size(x: str, y: str, threshold: float):
+    """Sets of which the larger has over 1 / threshold times as many cannot reach it; nothing else is lost."""
+    return F.least(x, y) >= F.lit(threshold) * F.greatest(x, y)
 
-    In each bucket every line meets two leaders, the smallest id and the one of the
-    smallest hash, which differs from band to band; so a bucket of n lines gives at
-    most 2n pairs. Leaders are aggregates combined before the shuffle and joined back,
-    so that the lines of a hot bucket are spread over tasks.
-    """
-    b = distinct.select("id", F.explode("bands").alias("band"))
-    one, two = F.min(F.struct("id")).alias("one"), F.min(F.struct(F.xxhash64("id").alias("h"), "id")).alias("two")
+
+def leaders_of(distinct: DataFrame) -> DataFrame:
+    """(band, one, two) of the buckets of two lines or more: the line of the smallest id and
+    the one of the smallest hash of id and band. Aggregates, combined before the shuffle."""
+    b = distinct.select("id", "size", F.explode("bands").alias("band"))
+    one, two = F.min(F.struct("id", "size")).alias("one"), F.min(F.struct(F.xxhash64("id", "band").alias("h"), "id", "size")).alias("two")
     g = b.groupBy("band").agg(one, two, F.count("*").alias("c"))
-    g = cut(g.where("c > 1").drop("c"))
-    j = b.join(g, "band").select("id", F.explode(F.array(F.struct("one.id"), F.struct("two.id"))).alias("o"))
-    j = j.where("id <> o.id")
+    return cut(g.where("c > 1").select("band", "one", F.struct("two.id", "two.size").alias("two")))
+
+
+def candidate_pairs(distinct: DataFrame, leaders: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) with a < b: every line and the leaders of its buckets, joined back so that the
+    lines of a hot bucket are spread over tasks. At most 2n pairs of n lines; `left_pairs` has the others."""
+    b = distinct.select("id", "size", F.explode("bands").alias("band"))
+    j = b.join(leaders, "band").select("id", "size", F.explode(F.array("one", "two")).alias("o"))
+    j = j.where("id <> o.id").where(_alike_in_size("size", "o.size", threshold))
     return j.select(F.least("id", "o.id").alias("a"), F.greatest("id", "o.id").alias("b")).distinct()
 
 
+def left_pairs(distinct: DataFrame, leaders: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) with a < b: the pairs of a bucket without a leader that no component holds yet.
+
+    Groups of near copies are tied by their leaders, and a bucket whose other lines are all
+    of one component is done. What is left is compared in full, none but by size excepted.
+    """
+    b = distinct.select("id", "size", F.explode("bands").alias("band")).join(leaders, "band").where("id <> one.id and id <> two.id")
+    b = b.join(groups.select(F.col("node").alias("id"), "component"), "id", "left")
+    b = cut(b.select("band", "id", "size", F.coalesce("component", "id").alias("component")))
+    mixed = cut(b.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("band"))
+    b = cut(b.join(mixed, "band"))
+    x, y = (b.select("band", *[F.col(c).alias(c + n) for c in ("id", "size", "component")]) for n in "xy")
+    j = x.join(y, "band").where("idx < idy and componentx <> componenty").where(_alike_in_size("sizex", "sizey", threshold))
+    return j.select(F.col("idx").alias("a"), F.col("idy").alias("b")).distinct()
+
+
 def similar_lines(lines: DataFrame, distinct: DataFrame, pairs: DataFrame, threshold: float, k: int) -> DataFrame:
     """The pairs whose k-character shingle sets have a Jaccard similarity of the threshold or more."""
     refs = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
@@ -58,9 +108,9 @@ def similar_lines(lines: DataFrame, distinct: DataFrame, pairs: DataFrame, thres
     texts = cut(texts.select("id", "line").dropDuplicates(["id"]))
     left, right = (texts.select(F.col("id").alias(x), F.col("line").alias("l" + x)) for x in "ab")
     p = pairs.join(left, "a").join(right, "b")
-    p = p.select("a", "b", F.expr(shingles("la", k)).alias("sa"), F.expr(shingles("lb", k)).alias("sb"))
-    p = p.withColumn("both", F.size(F.array_intersect("sa", "sb")))
-    return p.where(F.col("both") >= threshold * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b")
+    # Bound by lambdas, so that the sets are made once a pair wherever the filter is pushed.
+    sets = f"transform(array(struct({shingles('la', k)} as sa, {shingles('lb', k)} as sb)), s -> struct(size(s.sa) + size(s.sb) as n, size(array_intersect(s.sa, s.sb)) as both))"
+    return p.where(F.expr(f"exists({sets}, s -> s.both >= {threshold}D * (s.n - s.both))")).select("a", "b")
 
 
 def gone_lines(docs: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame:
@@ -72,13 +122,17 @@ def gone_lines(docs: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame
     """
     lines = lines_of(docs)
     key = [F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), F.length("line").alias("n")]
-    all_lines = cut(lines.select("doc_id", "pos", *key, F.expr(signature("line")).alias("sig")).select("doc_id", "pos", "h1", "h2", "n", "sig.*"))
-    least = F.min(F.struct("doc_id", "pos", "bands")).alias("least")
+    all_lines = cut(with_bands(lines.select("doc_id", "pos", *key, "line"), k))
+    least = F.min(F.struct("doc_id", "pos", "bands", "size")).alias("least")
     first = all_lines.groupBy("h1", "h2", "n").agg(least, F.count("*").alias("copies"))
-    first = first.select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "n", "copies", F.struct("least.doc_id", "least.pos").alias("first"), F.col("least.bands").alias("bands"))
+    first = first.select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "n", "copies", F.struct("least.doc_id", "least.pos").alias("first"), F.col("least.bands").alias("bands"), F.col("least.size").alias("size"))
     first = distinct = cut(first)
-    pairs = cut(candidate_pairs(distinct))
-    groups = connected_components(similar_lines(lines, distinct, pairs, threshold, k), "a", "b")
+    leaders = leaders_of(distinct)
+    pairs = cut(candidate_pairs(distinct, leaders, threshold))
+    groups = cut(connected_components(similar_lines(lines, distinct, pairs, threshold, k), "a", "b"))
+    pairs = cut(left_pairs(distinct, leaders, groups, threshold))
+    more = similar_lines(lines, distinct, pairs, threshold, k).unionByName(groups.select(F.col("component").alias("a"), F.col("node").alias("b")))
+    groups = connected_components(more, "a", "b")
     # Written down, so that the join of a component's lines with its head can be split.
     heads = cut(groups.join(first.select(F.col("id").alias("node"), "first"), "node").groupBy("component").agg(F.min("first").alias("head")))
     moved = groups.join(heads, "component").select(F.col("node").alias("id"), "head")

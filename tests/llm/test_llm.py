@@ -336,6 +336,16 @@ def test_edits_at_word_starts_are_found(spark):
     assert got.where("n_removed > 0").count() >= 0.93 * 150
 
 
+def test_lines_without_blanks_are_found(spark):
+    rng = np.random.default_rng(12)
+    tail = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, 70))
+    lines = ["https://example.org/one/path/that/all/of/the/lines/have/" + tail() for _ in range(60)]
+    lines += ["".join(chr(0x4E00 + c) for c in rng.integers(0, 3000, 60)) for _ in range(20)]
+    rows = [(i, t, "s") for i, t in enumerate(lines)] + [(100 + i, t[:-1] + "!", "s") for i, t in enumerate(lines)]
+    got = fuzzylines.dedup_lines_fuzzy(make(spark, rows)).where("n_removed > 0")
+    assert sorted(r.doc_id for r in got.collect()) == list(range(100, 180))
+
+
 # 8 line hashing
 
 
