@@ -339,7 +339,8 @@ def shared_parts(pieces: list[bytes], seeds: np.ndarray, length: int) -> tuple[n
 
     What pieces have in common around their seed is no longer than what each shares with
     its neighbours when the bytes after the seed, or those before it read backwards, are
-    sorted. Pieces in which the seed stands twice, or that hold a long run, keep all."""
+    sorted. Where a piece of a seed holds it twice or is a long run, all pieces of that seed keep
+    all, since what they share may lie at another place of the seed than the last."""
     sizes = np.array([len(p) for p in pieces])
     first = np.cumsum(sizes) - sizes
     text = np.frombuffer(b"".join(pieces), np.uint8)
@@ -363,6 +364,7 @@ def shared_parts(pieces: list[bytes], seeds: np.ndarray, length: int) -> tuple[n
     lo, hi = np.maximum(0, at - lead), np.minimum(sizes - length, follow + at + SEED - length)
     # Sides are padded alike and cut at `width`; a side that agrees to its end says nothing of what follows.
     whole = (times != 1) | (sizes > 2 * length - SEED)
+    whole = np.isin(seeds, seeds[whole])
     lo[whole], hi[whole] = 0, (sizes - length)[whole]
     return lo, np.maximum(hi + 1, lo)
 

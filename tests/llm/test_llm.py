@@ -123,6 +123,34 @@ def test_difference_cover_against_brute_force():
         assert [x.tolist() for x in suffixdedup.least_docs(pieces, docs, n)] == windows(pieces, docs, n)
 
 
+def test_repeated_seeds_against_brute_force():
+    rng = np.random.default_rng(8)
+    seen = 0
+    for _ in range(300):
+        common, unit = rng.integers(97, 123, 60).astype(np.uint8).tobytes(), rng.integers(97, 123, rng.integers(3, 21)).astype(np.uint8).tobytes()
+        texts = [common + unit * 30, common + unit * int(rng.integers(3, 8))]
+        at = {}
+        for t, raw in enumerate(texts):
+            for p in range(len(raw) - suffixdedup.SEED + 1):
+                at.setdefault(raw[p : p + suffixdedup.SEED], [[], []])[t].append(p)
+        for seed, (x, y) in at.items():
+            if not x or not y:
+                continue
+            pieces = [raw[max(0, min(q) - 50 + suffixdedup.SEED) : max(q) + 50] for raw, q in zip(texts, (x, y), strict=True)]
+            if min(map(len, pieces)) < 50:
+                continue
+            seen += len(x) != len(y)
+            raw = np.frombuffer(seed, np.uint8)
+            sums = np.cumsum(suffixdedup.BYTE[raw] * suffixdedup.powers(suffixdedup.BASE, len(raw)))[-1:]
+            h = suffixdedup.mix(sums * suffixdedup.powers(suffixdedup.INVERSE, 1)).view(np.int64)
+            lo, hi = suffixdedup.shared_parts(pieces, np.repeat(h, 2), 50)
+            both = {pieces[0][i : i + 50] for i in range(len(pieces[0]) - 49)}
+            for i in range(len(pieces[1]) - 49):
+                w = pieces[1][i : i + 50]
+                assert w not in both or seed not in w or lo[1] <= i < hi[1]
+    assert seen
+
+
 def test_suffix_ranks_sort():
     rng = np.random.default_rng(6)
     for n in (1, 2, 3, 4, 5, 17, 100, 301):
