@@ -5,156 +5,172 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from permaway.llm.rows import KEY, join_rows, text_keys
 from permaway.operators.components import connected_components
 from permaway.operators.scratch import cut, hint_small
 
-#: Fixed masks of the MinHash permutations (hash XOR mask); two to a band.
-MASKS = tuple(int.from_bytes((x * 0x9E3779B97F4A7C15 % (1 << 63)).to_bytes(8, "big"), "big") for x in range(1, 13))
-#: A line of fewer distinct shingles than the second number has the minima of permutations, one
-#: of the first number or more those of twelve ranges of hashes; lines between have both. Sets
-#: that are alike by 0.8 differ in size by a quarter at most, so they have one kind in common.
-RANGES_FROM, MASKS_BELOW = 32, 40
-#: Where the twelve ranges of hashes begin.
-MARKS = tuple(-(1 << 63) + i * ((1 << 64) // len(MASKS)) for i in range(len(MASKS)))
+#: Bands of a signature and minima to a band.
+BANDS, ROWS = 10, 4
+#: Marks that divide the range of hashes evenly. The least hash from a mark on, past the last
+#: one the least of all, is the minimum of a set under the order that begins at that mark.
+MARKS = tuple(-(1 << 63) + i * ((1 << 64) // (BANDS * ROWS)) for i in range(BANDS * ROWS))
+#: The minima of band b: one of each quarter of the marks, by different steps, so that bands
+#: of a short line, whose neighbouring minima are often one, don't fall together.
+MEMBERS = tuple(tuple(r * BANDS + (b * step + r) % BANDS for r, step in enumerate((1, 3, 7, 9))) for b in range(BANDS))
+#: Of so many minima four bits each are kept; lines of which fewer agree are not compared.
+#: Of pairs of a similarity of 0.8 and any length none in three thousand has so few.
+SKETCH, AGREE = 32, 14
+#: What is trimmed off a line's ends.
+BLANKS = " \t\n\x0b\x0c\r"
 
 
 def shingles(line: str, k: int) -> str:
-    """SQL of the 64-bit hashes of a folded line's distinct k-character shingles; a shorter line is its own one.
+    """SQL of the 64-bit hashes of a folded line's k-character shingles; a shorter line is its own one.
 
     Four bytes to a character, so that a shingle is a slice."""
     each = f"transform(sequence(1, 4 * (length({line}) - {k}) + 1, 4), i -> xxhash64(substring(b, i, {4 * k})))"
-    return f"CASE WHEN length({line}) < {k} THEN array(xxhash64({line})) ELSE array_distinct(element_at(transform(array(encode({line}, 'UTF-32')), b -> {each}), 1)) END"
-
-
-def _bands(m: str, first: int) -> str:
-    """SQL of the bands of minima m: two of them and the band's number, from first on."""
-    return ", ".join(f"((({m})[{i}] ^ shiftleft(({m})[{i + 1}], 7) ^ shiftrightunsigned(({m})[{i + 1}], 57)) & -16L) | {first + i // 2}L" for i in range(0, len(MASKS), 2))
+    return f"CASE WHEN length({line}) < {k} THEN array(xxhash64({line})) ELSE element_at(transform(array(encode({line}, 'UTF-32')), b -> {each}), 1) END"
 
 
 def with_bands(lines: DataFrame, k: int) -> DataFrame:
-    """lines with size, the number of distinct shingles, and bands in place of line.
+    """lines with bands and the sketch s1, s2 in place of line.
 
-    All shingles are taken, so that a change anywhere in a line counts alike and a script
-    without blanks has as many as any. Twelve permutations of a long line's hashes would cost
-    most of the run: its hashes are sorted once with the marks among them, and what follows a
-    mark is the least of its range. An empty range has the minimum of its permutation.
+    All shingles are hashed once and sorted. The marks are sorted in among them, so that
+    a mark's place tells how many hashes come before it, and thereby the one that follows.
     """
     own = [c for c in lines.columns if c != "line"]
-    x = lines.select(*own, F.expr(shingles("line", k)).alias("s")).withColumn("size", F.size("s"))
-    marks = ", ".join("(-9223372036854775807L - 1L)" if m == -(1 << 63) else f"{m}L" for m in MARKS)
-    x = x.withColumn("o", F.expr(f"CASE WHEN size >= {RANGES_FROM} THEN sort_array(concat(s, array({marks}))) END"))
-    after = ", ".join(f"get(o, int(array_position(o, {m})))" for m in marks.split(", "))
-    x = x.withColumn("o", F.expr(f"CASE WHEN o IS NOT NULL THEN array({after}) END"))
-    low = [f"array_min(transform(s, x -> x ^ {m}L))" for m in MASKS]
-    ends = [*marks.split(", ")[1:], "NULL"]
-    filled = ", ".join(f"CASE WHEN o[{i}] IS NULL OR o[{i}] <=> {e} THEN {low[i]} ELSE o[{i}] END" for i, e in enumerate(ends))
-    x = x.withColumn("o", F.expr(f"CASE WHEN o IS NOT NULL THEN array({filled}) END"))
-    x = x.withColumn("m", F.expr(f"CASE WHEN size < {MASKS_BELOW} THEN array({', '.join(low)}) END"))
-    none = "cast(array() as array<bigint>)"
-    bands = [f"CASE WHEN {c} IS NULL THEN {none} ELSE array({_bands(c, first)}) END" for c, first in (("m", 0), ("o", len(MASKS) // 2))]
-    return x.select(*own, "size", F.expr(f"concat({', '.join(bands)})").alias("bands"))
+    # (1 << 63) has no literal of its own in SQL.
+    marks = ["(-9223372036854775807L - 1L)" if m == -(1 << 63) else f"{m}L" for m in MARKS]
+    x = lines.select(*own, F.sort_array(F.expr(shingles("line", k))).alias("s"))
+    x = x.withColumn("o", F.expr(f"sort_array(concat(s, array({', '.join(marks)})))"))
+    minima = ", ".join(f"s[int((array_position(o, {m}) - {i + 1}) % size(s))]" for i, m in enumerate(marks))
+    x = x.select(*own, F.expr(f"array({minima})").alias("m"))
+    bands = ", ".join(f"xxhash64({b}, {', '.join(f'm[{i}]' for i in members)})" for b, members in enumerate(MEMBERS))
+    sketch = [" | ".join(f"shiftleft(m[{i + half}] & 15L, {4 * i})" for i in range(16)) for half in range(0, SKETCH, 16)]
+    return x.select(*own, F.expr(f"array({bands})").alias("bands"), *[F.expr(s).alias(f"s{i}") for i, s in enumerate(sketch, 1)])
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, pos, line) of the lines that hold something: lower case, blanks at the ends off."""
-    u = docs.select("doc_id", F.posexplode(F.transform(F.split(F.lower("text"), "\n", -1), F.trim)).alias("pos", "line"))
-    return u.where("line <> ''")
-
-
-def _alike_in_size(x: str, y: str, threshold: float):
-    """Sets of which the larger has over 1 / threshold times as many cannot reach it; nothing else is lost."""
-    return F.least(x, y) >= F.lit(threshold) * F.greatest(x, y)
-
-
-def leaders_of(distinct: DataFrame) -> DataFrame:
-    """(band, one, two) of the buckets of two lines or more: the line of the smallest id and
-    the one of the smallest hash of id and band. Aggregates, combined before the shuffle."""
-    b = distinct.select("id", "size", F.explode("bands").alias("band"))
-    one, two = F.min(F.struct("id", "size")).alias("one"), F.min(F.struct(F.xxhash64("id", "band").alias("h"), "id", "size")).alias("two")
-    g = b.groupBy("band").agg(one, two, F.count("*").alias("c"))
-    return cut(g.where("c > 1").select("band", "one", F.struct("two.id", "two.size").alias("two")))
-
-
-def candidate_pairs(distinct: DataFrame, leaders: DataFrame, threshold: float) -> DataFrame:
-    """(a, b) with a < b: every line and the leaders of its buckets, joined back so that the
-    lines of a hot bucket are spread over tasks. At most 2n pairs of n lines; `left_pairs` has the others."""
-    b = distinct.select("id", "size", F.explode("bands").alias("band"))
-    j = b.join(leaders, "band").select("id", "size", F.explode(F.array("one", "two")).alias("o"))
-    j = j.where("id <> o.id").where(_alike_in_size("size", "o.size", threshold))
-    return j.select(F.least("id", "o.id").alias("a"), F.greatest("id", "o.id").alias("b")).distinct()
-
-
-def left_pairs(distinct: DataFrame, leaders: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
-    """(a, b) with a < b: the pairs of a bucket without a leader that no component holds yet.
-
-    Groups of near copies are tied by their leaders, and a bucket whose other lines are all
-    of one component is done. What is left is compared in full, none but by size excepted.
+    """(doc_id, r1, r2, pos, h1, h2, n, line) of the lines that hold something: lower case, ASCII
+    blanks at the ends off. 96 bits of two hashes and the length stand for a line."""
+    u = docs.select("doc_id", *text_keys(F.col("text")), F.posexplode(F.split(F.lower("text"), "\n", -1)).alias("pos", "line"))
+    u = u.withColumn("line", F.btrim("line", F.lit(BLANKS))).where("line <> ''")
+    return u.select(*KEY, "pos", F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), F.length("line").alias("n"), "line")
+
+
+def _agreeing(x: str, y: str) -> str:
+    """SQL of how many of the minima's low four bits two sketches share."""
+    parts = []
+    for s in ("s1", "s2"):
+        d = f"({x}{s} ^ {y}{s})"
+        parts.append(f"bit_count((({d} | shiftrightunsigned({d}, 1) | shiftrightunsigned({d}, 2) | shiftrightunsigned({d}, 3)) & 1229782938247303441L))")
+    return f"{SKETCH} - {' - '.join(parts)}"
+
+
+def members_of(distinct: DataFrame) -> DataFrame:
+    """(band, id, s1, s2): the lines in each bucket of two or more."""
+    b = distinct.select("id", F.explode("bands").alias("band"))
+    met = cut(b.groupBy("band").agg(F.count("*").alias("c")).where("c > 1").select("band"))
+    at = cut(b.join(hint_small(met), "band"))
+    return cut(at.join(distinct.select("id", "s1", "s2"), "id").select("band", "id", "s1", "s2"))
+
+
+def leader_pairs(members: DataFrame) -> DataFrame:
+    """(a, b) with a < b: every line and the leaders of its buckets, those of the smallest id and
+    of the smallest hash of id and band: aggregates combined before the shuffle, joined back so
+    that the lines of a hot bucket are spread over tasks. `left_pairs` has the others."""
+    row = F.struct("id", "s1", "s2")
+    g = members.groupBy("band").agg(F.min(row).alias("one"), F.min(F.struct(F.xxhash64("id", "band").alias("h"), "id", "s1", "s2")).alias("two"))
+    leaders = cut(g.select("band", F.explode(F.array("one", F.struct("two.id", "two.s1", "two.s2"))).alias("o")).select("band", F.col("o.id").alias("oid"), F.col("o.s1").alias("os1"), F.col("o.s2").alias("os2")).distinct())
+    j = members.join(leaders, "band").where("id <> oid").where(f"{_agreeing('', 'o')} >= {AGREE}")
+    return j.select(F.least("id", "oid").alias("a"), F.greatest("id", "oid").alias("b")).distinct()
+
+
+def left_pairs(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """(a, b) with a < b: the pairs of a bucket that no component holds yet.
+
+    Groups of near copies are tied by their leaders, and a bucket of one component is done.
+    In others, lines outside the bucket's largest component are compared with all that are of
+    another one, so that a very large group of copies is not compared with itself.
     """
-    b = distinct.select("id", "size", F.explode("bands").alias("band")).join(leaders, "band").where("id <> one.id and id <> two.id")
-    b = b.join(groups.select(F.col("node").alias("id"), "component"), "id", "left")
-    b = cut(b.select("band", "id", "size", F.coalesce("component", "id").alias("component")))
-    mixed = cut(b.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("band"))
-    b = cut(b.join(mixed, "band"))
-    x, y = (b.select("band", *[F.col(c).alias(c + n) for c in ("id", "size", "component")]) for n in "xy")
-    j = x.join(y, "band").where("idx < idy and componentx <> componenty").where(_alike_in_size("sizex", "sizey", threshold))
-    return j.select(F.col("idx").alias("a"), F.col("idy").alias("b")).distinct()
+    b = members.join(groups.select(F.col("node").alias("id"), "component"), "id", "left")
+    b = cut(b.withColumn("component", F.coalesce("component", "id")))
+    size = b.groupBy("band", "component").agg(F.count("*").alias("c"))
+    major = cut(size.groupBy("band").agg(F.max(F.struct("c", "component")).alias("x"), F.count("*").alias("kinds")).where("kinds > 1").select("band", F.col("x.component").alias("major")))
+    mixed = cut(b.join(major, "band"))
+    x = mixed.where("component <> major").select("band", *[F.col(c).alias("x" + c) for c in ("id", "s1", "s2", "component")])
+    y = mixed.select("band", "major", *[F.col(c).alias("y" + c) for c in ("id", "s1", "s2", "component")])
+    j = x.join(y, "band").where("xcomponent <> ycomponent and (xid < yid or ycomponent = major)").where(f"{_agreeing('x', 'y')} >= {AGREE}")
+    return j.select(F.least("xid", "yid").alias("a"), F.greatest("xid", "yid").alias("b")).distinct()
 
 
 def similar_lines(lines: DataFrame, distinct: DataFrame, pairs: DataFrame, threshold: float, k: int) -> DataFrame:
     """The pairs whose k-character shingle sets have a Jaccard similarity of the threshold or more."""
     refs = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    at = cut(distinct.join(refs, "id").select("id", "first.doc_id", "first.pos").withColumnRenamed("doc_id", "_d").withColumnRenamed("pos", "_p"))
-    texts = lines.join(hint_small(at), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("pos") == F.col("_p")))
-    texts = cut(texts.select("id", "line").dropDuplicates(["id"]))
+    at = cut(distinct.select("id", "h1", "h2", "n", "first").join(refs, "id").select("id", "h1", "h2", "n", *[F.col(f"first.{c}").alias("_first_" + c) for c in (*KEY, "pos")]))
+    here = " and ".join(f"{c} <=> _first_{c}" for c in (*KEY, "pos"))
+    texts = cut(lines.join(hint_small(at), ["h1", "h2", "n"]).where(here).select("id", "line").dropDuplicates(["id"]))
     left, right = (texts.select(F.col("id").alias(x), F.col("line").alias("l" + x)) for x in "ab")
     p = pairs.join(left, "a").join(right, "b")
     # Bound by lambdas, so that the sets are made once a pair wherever the filter is pushed.
-    sets = f"transform(array(struct({shingles('la', k)} as sa, {shingles('lb', k)} as sb)), s -> struct(size(s.sa) + size(s.sb) as n, size(array_intersect(s.sa, s.sb)) as both))"
+    sets = f"transform(array(struct(array_distinct({shingles('la', k)}) as sa, array_distinct({shingles('lb', k)}) as sb)), s -> struct(size(s.sa) + size(s.sb) as n, size(array_intersect(s.sa, s.sb)) as both))"
     return p.where(F.expr(f"exists({sets}, s -> s.both >= {threshold}D * (s.n - s.both))")).select("a", "b")
 
 
+def distinct_lines(lines: DataFrame, first: DataFrame, k: int) -> DataFrame:
+    """(id, h1, h2, n, first, copies, bands, s1, s2): each line that differs from the others, once.
+    Signatures are made where the documents are, of a line's first occurrence alone."""
+    again = first.where("copies > 1").select("h1", "h2", "n", F.struct(*[F.col(f"first.{c}") for c in (*KEY, "pos")]).alias("first"), "copies")
+    j = lines.join(hint_small(cut(again)), ["h1", "h2", "n"], "left")
+    here = F.struct(*KEY, "pos")
+    j = j.where(F.col("first").isNull() | F.col("first").eqNullSafe(here))
+    rows = j.select("h1", "h2", "n", here.alias("first"), F.coalesce("copies", F.lit(1)).alias("copies"), "line")
+    return cut(with_bands(rows, k).withColumn("id", F.monotonically_increasing_id()))
+
+
 def gone_lines(docs: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame:
-    """(doc_id, gone array<int>): positions of lines whose component has an earlier line.
+    """(doc_id, r1, r2, gone array<int>): positions of lines whose component has an earlier line.
 
     Lines that are equal after folding are one line with one signature; the components
-    of the distinct lines come from verified pairs; the earliest (doc_id, position) of a
-    component stays. 96 bits of two hashes and the length stand for a line.
+    of the distinct lines come from verified pairs; the earliest (doc_id, text's hashes,
+    position) of a component stays.
     """
     lines = lines_of(docs)
-    key = [F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), F.length("line").alias("n")]
-    all_lines = cut(with_bands(lines.select("doc_id", "pos", *key, "line"), k))
-    least = F.min(F.struct("doc_id", "pos", "bands", "size")).alias("least")
-    first = all_lines.groupBy("h1", "h2", "n").agg(least, F.count("*").alias("copies"))
-    first = first.select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "n", "copies", F.struct("least.doc_id", "least.pos").alias("first"), F.col("least.bands").alias("bands"), F.col("least.size").alias("size"))
-    first = distinct = cut(first)
-    leaders = leaders_of(distinct)
-    pairs = cut(candidate_pairs(distinct, leaders, threshold))
+    all_lines = cut(lines.drop("line"))
+    first = cut(all_lines.groupBy("h1", "h2", "n").agg(F.min(F.struct(*KEY, "pos")).alias("first"), F.count("*").alias("copies")))
+    distinct = distinct_lines(lines, first, k)
+    members = members_of(distinct)
+    pairs = cut(leader_pairs(members))
     groups = cut(connected_components(similar_lines(lines, distinct, pairs, threshold, k), "a", "b"))
-    pairs = cut(left_pairs(distinct, leaders, groups, threshold))
+    pairs = cut(left_pairs(members, groups))
     more = similar_lines(lines, distinct, pairs, threshold, k).unionByName(groups.select(F.col("component").alias("a"), F.col("node").alias("b")))
     groups = connected_components(more, "a", "b")
     # Written down, so that the join of a component's lines with its head can be split.
-    heads = cut(groups.join(first.select(F.col("id").alias("node"), "first"), "node").groupBy("component").agg(F.min("first").alias("head")))
-    moved = groups.join(heads, "component").select(F.col("node").alias("id"), "head")
-    keep = first.join(moved, "id", "left").select("h1", "h2", "n", F.coalesce("head", "first").alias("keep"), "first", "copies")
-    keep = cut(keep.where("copies > 1 or keep <> first").select("h1", "h2", "n", F.col("keep.doc_id").alias("keep_id"), F.col("keep.pos").alias("keep_pos")))
-    gone = all_lines.join(hint_small(keep), ["h1", "h2", "n"]).where("not (doc_id <=> keep_id and pos = keep_pos)")
-    return gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
+    at = cut(distinct.select(F.col("id").alias("node"), "first").join(groups, "node"))
+    heads = cut(at.groupBy("component").agg(F.min("first").alias("head")))
+    moved = at.join(heads, "component").select(F.col("node").alias("id"), "head")
+    keep = distinct.select("id", "h1", "h2", "n", "first", "copies").join(moved, "id", "left").withColumn("keep", F.coalesce("head", "first"))
+    keep = cut(keep.where("copies > 1 or keep <> first").select("h1", "h2", "n", *[F.col(f"keep.{c}").alias("_keep_" + c) for c in (*KEY, "pos")]))
+    here = " and ".join(f"{c} <=> _keep_{c}" for c in (*KEY, "pos"))
+    gone = all_lines.join(hint_small(keep), ["h1", "h2", "n"]).where(f"not ({here})")
+    return gone.groupBy(*KEY).agg(F.sort_array(F.collect_set("pos")).alias("gone"))
 
 
 def dedup_lines_fuzzy(docs: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame:
     """docs with text less the lines that resemble an earlier one, and n_lines, n_removed,
     removed_lines (positions) beside it, in place of columns of these names.
 
-    Blank lines always stay; null and empty texts come back as they are; rows of one
-    doc_id count as one document; a null doc_id is the first; an empty table gives none.
-    The texts themselves are not shuffled unless the table of what goes is too large
-    to be sent out.
+    Lines of nothing but ASCII blanks always stay; null and empty texts come back as they
+    are. Rows of one doc_id with different texts are documents of their own, ranked by a
+    hash of the text; repeated rows lose the same lines; a null doc_id is the first; an
+    empty table gives none. The texts themselves are not shuffled unless the table of what
+    goes is too large to be sent out.
     """
-    gone = cut(gone_lines(docs.select("doc_id", "text"), threshold, k).select(F.col("doc_id").alias("_gone_id"), F.col("gone").alias("_gone")))
-    j = docs.select(F.struct("*").alias("_d")).join(hint_small(gone), F.col("_d.doc_id").eqNullSafe(F.col("_gone_id")), "left")
+    gone = cut(gone_lines(docs.select("doc_id", "text"), threshold, k).withColumnRenamed("gone", "_gone"))
+    j = join_rows(docs, hint_small(gone))
     j = j.withColumn("_gone", F.coalesce("_gone", F.expr("cast(array() as array<int>)"))).withColumn("_text", F.col("_d.text"))
-    kept = F.expr(r"array_join(filter(split(_text, '\n', -1), (u, i) -> not array_contains(_gone, i)), '\n')")
+    # The places that stay, by one pass of hashing, so that a text of very many lines stays linear.
+    kept = F.expr(r"array_join(element_at(transform(array(split(_text, '\n', -1)), u -> transform(array_except(sequence(0, size(u) - 1), _gone), i -> u[i])), 1), '\n')")
     new = {
         "n_lines": F.coalesce(F.when(F.col("_text").isNotNull(), F.size(F.split("_text", "\n", -1))), F.lit(0)).cast("bigint"),
         "n_removed": F.size("_gone").cast("bigint"),

@@ -1,86 +1,188 @@
-"""Substring dedup by hashing lines."""
+"""Substring dedup by hashing lines and the sentences in them."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+import re
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from permaway.llm.batches import text_batches
+from permaway.llm.rows import KEY, join_rows, text_keys
 from permaway.operators.scratch import cut, hint_small
 
+#: Words from which a sentence within a line is a unit of its own.
+SENTENCE_WORDS = 8
+#: A sentence ends where one of these signs stands before a blank or tab.
+BREAK = re.compile(rb"(?<=[.!?])(?=[ \t])")
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+ADDED = ("n_units", "n_removed", "removed_chars", "removed_spans")
 
-def normal_unit(unit: Column) -> Column:
-    """ASCII capitals lowered, runs of ASCII white space made one blank, ends trimmed."""
-    folded = F.translate(unit, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.trim(F.regexp_replace(folded, r"[\x20\x09-\x0D]+", " "))
-
-
-def units_of(docs: DataFrame, separator: str = "\n") -> DataFrame:
-    """(doc_id, pos, digest): the units with anything in them. digest is 128 bits wide."""
-    split = F.split("text", "\\Q" + separator + "\\E", -1)
-    u = docs.select("doc_id", F.posexplode(split).alias("pos", "unit")).select("doc_id", "pos", normal_unit(F.col("unit")).alias("unit"))
-    return u.where("unit <> ''").select("doc_id", "pos", F.unhex(F.md5("unit")).alias("digest"))
 
-
-def repeated_units(docs: DataFrame, separator: str = "\n") -> DataFrame:
-    """(doc_id, gone array<int>): the positions of units that stood before, in a smaller
+def normal_unit(unit: bytes) -> bytes:
+    """ASCII capitals lowered, runs of ASCII white space made one blank, ends trimmed."""
+    return b" ".join(unit.translate(LOWER).split())
+
+
+def units_of(raw: bytes, words: int = SENTENCE_WORDS):
+    """(start, stop, normal form, whether it is a whole line) of the units of a text, in order.
+
+    Every line that holds something is a unit; a line of several sentences is followed by
+    those of them that have as many words or more. Offsets are bytes."""
+    at = 0
+    for line in raw.split(b"\n"):
+        parts = BREAK.split(line)
+        normal = [normal_unit(p) for p in parts]
+        whole = b" ".join(filter(None, normal))
+        if whole:
+            yield at, at + len(line), whole, True
+            if sum(map(bool, normal)) > 1:
+                start = at
+                for p, n in zip(parts, normal, strict=True):
+                    if n.count(b" ") + 1 >= words:
+                        yield start, start + len(p), n, False
+                    start += len(p)
+        at += len(line) + 1
+
+
+def hashed_units(docs: DataFrame, words: int = SENTENCE_WORDS) -> DataFrame:
+    """(doc_id, r1, r2, unit, h1, h2): number and 128-bit digest of every unit of every text."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            row, number, digests = [], [], []
+            for i, text in enumerate(batch.column(3)):
+                for k, u in enumerate(units_of(text.as_py(), words)):
+                    row.append(i)
+                    number.append(k)
+                    digests.append(hashlib.md5(u[2], usedforsecurity=False).digest())
+            h = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            own = [batch.column(c).take(pa.array(row, pa.int64())) for c in range(3)]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(number, pa.int32()), pa.array(h[:, 0]), pa.array(h[:, 1])], [*KEY, "unit", "h1", "h2"])
+
+    src = text_batches(docs).where("text is not null").select("doc_id", *text_keys(F.col("text")), F.col("text").cast("binary").alias("text"))
+    return src.mapInArrow(run, f"doc_id {kind}, r1 bigint, r2 bigint, unit int, h1 bigint, h2 bigint")
+
+
+def repeated_units(docs: DataFrame, words: int = SENTENCE_WORDS) -> DataFrame:
+    """(doc_id, r1, r2, gone array<int>): the numbers of units that stood before, in a smaller
     doc_id or further up in the same document.
 
-    The earliest (doc_id, pos) of a digest is an aggregate that is combined before the
-    shuffle, and goes back to the units by a join whose large partitions Spark splits,
-    so a line that a third of the documents have is never in one task.
+    The earliest place of a digest is an aggregate that is combined before the shuffle,
+    and goes back to the units by a join whose large partitions Spark splits, so a line
+    that a third of the documents have is never in one task.
     """
-    units = cut(units_of(docs, separator))
-    first = units.groupBy("digest").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("n"))
-    first = cut(first.where("n > 1").select("digest", F.col("first.doc_id").alias("first_id"), F.col("first.pos").alias("first_pos")))
-    gone = units.join(hint_small(first), "digest").where("not (doc_id <=> first_id and pos = first_pos)")
-    return gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
-
-
-def dedup_lines_exact(docs: DataFrame, separator: str = "\n") -> DataFrame:
+    units = cut(hashed_units(docs, words))
+    first = units.groupBy("h1", "h2").agg(F.min(F.struct(*KEY, "unit")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = cut(first.select("h1", "h2", *[F.col(f"first.{c}").alias("_first_" + c) for c in (*KEY, "unit")]))
+    again = " and ".join(f"{c} <=> _first_{c}" for c in (*KEY, "unit"))
+    gone = units.join(hint_small(first), ["h1", "h2"]).where(f"not ({again})")
+    return gone.groupBy(*KEY).agg(F.sort_array(F.collect_set("unit")).alias("gone"))
+
+
+def without(raw: bytes, gone: set[int], words: int = SENTENCE_WORDS) -> tuple[bytes, int, int, list[tuple[int, int]]]:
+    """The text less its units of these numbers, how many units it has and how many went, and
+    the byte spans that went. A line that goes takes its line break along, and its sentences
+    are not counted again; a line whose sentences leave nothing but blanks goes too."""
+    n, spans, lines = 0, [], []
+    for start, stop, _, whole in units_of(raw, words):
+        if whole:
+            lines.append([start, stop, n in gone, []])
+        elif n in gone:
+            lines[-1][3].append((start, stop))
+        n += 1
+    at, kept, removed, starts = 0, [], 0, {x[0]: x for x in lines}
+    for line in raw.split(b"\n"):
+        _, stop, all_gone, parts = starts.get(at, (at, at, False, []))
+        left = line
+        if not all_gone and parts:
+            edges = [at, *(x for p in parts for x in p), stop]
+            left = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+        if all_gone:
+            spans.append((at, stop))
+            removed += 1
+        else:
+            spans += parts
+            removed += len(parts)
+            if left.strip() or not parts:
+                kept.append(left)
+        at += len(line) + 1
+    return b"\n".join(kept), n, removed, spans
+
+
+def dedup_lines_exact(docs: DataFrame, words: int = SENTENCE_WORDS) -> DataFrame:
     """docs with text less every repeated unit, and what went, by its place in the input.
 
-    New columns, in place of any of these names: n_units, n_removed, removed_chars, removed_spans (array of start and
-    stop in characters of the input text, stop without the separator). The earliest
-    occurrence, by doc_id and then position, stays; blank units always stay. Rows of
-    one doc_id count as one document and lose the same units; a null doc_id comes
-    first. A null text stays null with no units; an empty text has one blank unit.
-    What goes is joined to the documents where they are if it is small, so that whole
-    texts are only shuffled where it is not.
+    Units are lines and, in lines of several sentences, the sentences of eight words or
+    more; a sentence and a line that agree are the same unit. New columns, in place of any
+    of these names: n_units, n_removed, removed_chars, removed_spans (array of start and
+    stop in characters of the input text, stop without the line break). The earliest
+    occurrence, by doc_id and then position, stays; blank lines always stay. Rows of one
+    doc_id and different texts are documents of their own, ranked by a hash of the text;
+    repeated rows lose the same units; a null doc_id comes first. A null text stays null
+    with no units; an empty text has none. An empty table gives none. What goes is joined
+    to the documents where they are if it is small, so that whole texts are only shuffled
+    where it is not.
     """
-    gone = cut(repeated_units(docs.select("doc_id", "text"), separator).select(F.col("doc_id").alias("_gone_id"), F.col("gone").alias("_gone")))
-    j = docs.select(F.struct("*").alias("_d")).join(hint_small(gone), F.col("_d.doc_id").eqNullSafe(F.col("_gone_id")), "left")
-    n = len(separator)
-    j = j.withColumn("_text", F.col("_d.text")).withColumn("_units", F.split("_text", "\\Q" + separator + "\\E", -1))
-    j = j.withColumn("_gone", F.coalesce("_gone", F.expr("cast(array() as array<int>)")))
-    hit = F.size("_gone") > 0
-    # Starts of all units are a running sum; it is only made where something goes.
-    starts = F.expr(
-        f"aggregate(_units, named_struct('at', 0, 'all', cast(array() as array<int>)), (x, u) -> named_struct('at', x.at + length(u) + {n}, 'all', array_append(x.all, x.at))).all"
-    )
-    j = j.withColumn("_starts", F.when(hit, starts))
-    none = F.expr("cast(array() as array<struct<start:int,stop:int>>)")
-    j = j.withColumn("_spans", F.when(hit, F.expr("transform(_gone, p -> named_struct('start', _starts[p], 'stop', _starts[p] + length(_units[p])))")).otherwise(none))
-    kept = F.array_join(F.expr("filter(_units, (u, i) -> not array_contains(_gone, i))"), separator)
-    new = {
-        "n_units": F.when(F.col("_text").isNull(), F.lit(0)).otherwise(F.size("_units")).cast("bigint"),
-        "n_removed": F.size("_gone").cast("bigint"),
-        "removed_chars": F.expr("aggregate(_spans, 0L, (x, s) -> x + s.stop - s.start)"),
-        "removed_spans": F.col("_spans"),
-    }
-    own = [F.when(hit, kept).otherwise(F.col("_text")).alias("text") if c == "text" else F.col(f"_d.`{c}`") for c in docs.columns if c not in new]
-    return j.select(*own, *[v.alias(c) for c, v in new.items()])
+    gone = cut(repeated_units(docs.select("doc_id", "text"), words))
+    own = [c for c in docs.columns if c not in ADDED]
+    j = join_rows(text_batches(docs).select(*[F.col(f"`{c}`") for c in own]), hint_small(gone)).select(*[F.col(f"_d.`{c}`") for c in own], F.col("gone").alias("_gone_units"))
+    at = own.index("text")
+
+    def run(batches):
+        for batch in batches:
+            texts, counts, spans = [], [], []
+            for text, gone_here in zip(batch.column(at), batch.column(len(own)), strict=True):
+                raw = text.as_py()
+                if raw is None:
+                    out = (None, 0, 0, [])
+                elif not (some := gone_here.as_py()):
+                    out = (raw, sum(1 for _ in units_of(raw.encode(), words)), 0, [])
+                else:
+                    b = raw.encode()
+                    kept, n, removed, found = without(b, set(some), words)
+                    if not raw.isascii():
+                        place = np.r_[0, np.cumsum((np.frombuffer(b, np.uint8) & 0xC0) != 0x80)]
+                        found = [(int(place[x]), int(place[y])) for x, y in found]
+                    out = (kept.decode(), n, removed, found)
+                texts.append(out[0])
+                counts.append((out[1], out[2], sum(y - x for x, y in out[3])))
+                spans.append([{"start": x, "stop": y} for x, y in out[3]])
+            columns = [pa.array(texts, c.type) if i == at else c for i, c in enumerate(batch.columns[:-1])]
+            new = [pa.array([c[k] for c in counts], pa.int64()) for k in range(3)]
+            new.append(pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))))
+            yield pa.RecordBatch.from_arrays([*columns, *new], [*batch.schema.names[:-1], *ADDED])
+
+    kinds = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in j.schema.fields[:-1]]
+    kinds += ["n_units bigint", "n_removed bigint", "removed_chars bigint", "removed_spans array<struct<start:int,stop:int>>"]
+    return j.mapInArrow(run, ", ".join(kinds))
 
 
 SQL = r"""
-WITH u AS (SELECT doc_id, i - 1 AS pos, list_extract(l, i) AS raw FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL), unnest(generate_series(1, len(l))) AS t(i)),
-n AS (SELECT *, trim(regexp_replace(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) AS unit FROM u),
-r AS (SELECT *, unit <> '' AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, pos) > 1 AS gone,
-  coalesce(sum(length(raw) + 1) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM n),
-g AS (SELECT doc_id, count(*) AS n_units, count(*) FILTER (gone) AS n_removed, coalesce(sum(length(raw)) FILTER (gone), 0) AS removed_chars,
-  coalesce(string_agg((off::BIGINT)::VARCHAR || '-' || ((off + length(raw))::BIGINT)::VARCHAR, ',' ORDER BY pos) FILTER (gone), '') AS spans,
-  coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS kept FROM r GROUP BY doc_id)
+WITH l AS (SELECT doc_id, i - 1 AS pos, list_extract(l, i) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL), unnest(generate_series(1, len(l))) AS t(i)),
+s AS (SELECT doc_id, pos, line, i - 1 AS k, list_extract(p, i) AS raw FROM (SELECT *, string_split(regexp_replace(line, '([.!?])([\x20\x09])', '\1' || chr(10) || '\2', 'g'), chr(10)) AS p FROM l), unnest(generate_series(1, len(p))) AS t(i)),
+n AS (SELECT *, trim(regexp_replace(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) AS unit,
+  coalesce(sum(length(raw)) OVER (PARTITION BY doc_id, pos ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS inner_off FROM s),
+w AS (SELECT doc_id, pos, any_value(line) AS line, string_agg(unit, ' ' ORDER BY k) FILTER (unit <> '') AS unit, count(*) FILTER (unit <> '') AS parts FROM n GROUP BY doc_id, pos),
+o AS (SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM w),
+u AS (SELECT doc_id, pos, -1 AS k, unit, off AS start, off + length(line) AS stop FROM o WHERE unit IS NOT NULL
+  UNION ALL SELECT n.doc_id, n.pos, n.k, n.unit, off + inner_off, off + inner_off + length(n.raw) FROM n JOIN o USING (doc_id, pos) WHERE parts > 1 AND len(string_split(n.unit, ' ')) >= 8),
+r AS (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY doc_id, pos, k) > 1 AS gone FROM u),
+whole AS (SELECT doc_id, pos FROM r WHERE k = -1 AND gone),
+cutting AS (SELECT r.* FROM r LEFT JOIN whole ON r.doc_id = whole.doc_id AND r.pos = whole.pos WHERE gone AND (k = -1 OR whole.pos IS NULL)),
+rest AS (SELECT n.doc_id, n.pos, string_agg(n.raw, '' ORDER BY n.k) AS line FROM n ANTI JOIN cutting c ON n.doc_id = c.doc_id AND n.pos = c.pos AND (c.k = -1 OR c.k = n.k) GROUP BY n.doc_id, n.pos),
+touched AS (SELECT DISTINCT doc_id, pos FROM cutting),
+kept AS (SELECT rest.doc_id, string_agg(line, chr(10) ORDER BY rest.pos) AS kept FROM rest LEFT JOIN touched t ON rest.doc_id = t.doc_id AND rest.pos = t.pos
+  WHERE t.pos IS NULL OR regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rest.doc_id),
+c AS (SELECT doc_id, count(*) AS n_removed, sum(stop - start) AS removed_chars, string_agg((start::BIGINT)::VARCHAR || '-' || (stop::BIGINT)::VARCHAR, ',' ORDER BY start) AS spans FROM cutting GROUP BY doc_id),
+m AS (SELECT doc_id, count(*) AS n_units FROM u GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_units, 0)::BIGINT AS n_units, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(removed_chars, 0)::BIGINT AS removed_chars,
-  coalesce(spans, '') AS removed_spans, sha256(coalesce(kept, '')) AS kept_sha256 FROM documents d LEFT JOIN g USING (doc_id)
+  coalesce(spans, '') AS removed_spans, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN m USING (doc_id) LEFT JOIN c USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
 

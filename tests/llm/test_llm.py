@@ -306,7 +306,7 @@ def test_search_against_brute_force(spark):
 
 def test_fuzzy_lines_against_brute_force(spark):
     got = fuzzylines.dedup_lines_fuzzy(frame(spark, "documents")).toPandas()
-    lines = [(int(i), p, s.lower().strip(" ")) for i, t in texts().values for p, s in enumerate(t.split("\n")) if s.strip(" ")]
+    lines = [(int(i), p, s.lower().strip(fuzzylines.BLANKS)) for i, t in texts().values for p, s in enumerate(t.split("\n")) if s.strip(fuzzylines.BLANKS)]
     first = {}
     for i, p, s in lines:
         first.setdefault(s, (i, p))
@@ -347,6 +347,44 @@ def test_fuzzy_line_edges(spark, odd, empty):
     assert fuzzylines.dedup_lines_fuzzy(empty).count() == 0
 
 
+def test_rows_of_one_id_keep_their_own_lines(spark):
+    rows = [(1, "a line that both of them have\nno other has this one", "s"), (1, "an entirely unique sentence here\na line that both of them have", "s"), (2, "x\r\n\r\ny of some words\r\n\r\n", "s"), (3, "y of some words", "s")]
+    fuzzy = {r.text for r in fuzzylines.dedup_lines_fuzzy(make(spark, rows)).collect()}
+    exact = {r.text for r in linehash.dedup_lines_exact(make(spark, rows)).collect()}
+    for got in (fuzzy, exact):
+        assert sum("that both of them have" in t for t in got) == 1 and sum("an entirely unique sentence here" in t for t in got) == 1 and sum("no other has this one" in t for t in got) == 1
+        assert rows[2][1] in got and "" in got
+
+
+def test_large_groups_and_mixed_buckets(spark):
+    rng = np.random.default_rng(4)
+    word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, 7))
+    base = [word() for _ in range(30)]
+    lines = []
+    for i in range(120):
+        w = list(base)
+        for j in rng.choice(30, 2 if i < 60 else 6, replace=False):
+            w[j] = word()
+        lines.append(" ".join(w))
+    sets = [frozenset(s[a : a + 5] for a in range(len(s) - 4)) for s in lines]
+    parent = list(range(len(lines)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(lines)):
+        for b in range(a):
+            n = len(sets[a] & sets[b])
+            if n >= 0.8 * (len(sets[a]) + len(sets[b]) - n):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    got = fuzzylines.dedup_lines_fuzzy(make(spark, [(i, t, "s") for i, t in enumerate(lines)]))
+    gone = {r.doc_id for r in got.where("n_removed > 0").collect()}
+    assert len(gone ^ {i for i in range(len(lines)) if find(i) != i}) <= 2
+
+
 def test_edits_at_word_starts_are_found(spark):
     rng = np.random.default_rng(11)
     rows = []
@@ -382,7 +420,18 @@ def test_line_hash_edges(spark, odd, empty):
     got = {r.doc_id: r for r in linehash.dedup_lines_exact(make(spark, rows)).collect()}
     assert got[1].text == "A  line\nb\n" and [(s.start, s.stop) for s in got[1].removed_spans] == [(11, 17)]
     assert got[2].text == "c\r\n" and got[2].removed_chars == 7
-    assert linehash.dedup_lines_exact(odd).count() == len(ODD) and linehash.dedup_lines_exact(empty).count() == 0
+    out = linehash.dedup_lines_exact(odd)
+    assert out.count() == len(ODD) and {"gone", "_text", "n_units"} <= set(out.columns) and linehash.dedup_lines_exact(empty).count() == 0
+
+
+def test_passages_within_lines_go(spark):
+    passage = "Some words that are the same in both of them. And é here the second sentence of the passage is."
+    rows = [(1, f"Before it stands this. {passage} After it that", "s"), (2, f"Another start of nine words in the other document. {passage} Ok.", "s"), (3, passage.split(". ")[0].upper() + ". ", "s")]
+    got = {r.doc_id: r for r in linehash.dedup_lines_exact(make(spark, rows)).collect()}
+    assert got[1].n_removed == 0 and got[1].text == rows[0][1]
+    assert got[2].text == "Another start of nine words in the other document. Ok." and (got[2].n_units, got[2].n_removed) == (4, 2)
+    assert "".join(rows[1][1][s.start : s.stop] for s in got[2].removed_spans) == " " + passage
+    assert got[3].text == "" and got[3].n_removed == 1
 
 
 # 9 mixing
