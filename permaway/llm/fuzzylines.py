@@ -9,17 +9,14 @@ from permaway.llm.rows import KEY, join_rows, text_keys
 from permaway.operators.components import connected_components
 from permaway.operators.scratch import cut, hint_small
 
-#: Bands of a signature and minima to a band.
-BANDS, ROWS = 10, 4
-#: Marks that divide the range of hashes evenly. The least hash from a mark on, past the last
-#: one the least of all, is the minimum of a set under the order that begins at that mark.
-MARKS = tuple(-(1 << 63) + i * ((1 << 64) // (BANDS * ROWS)) for i in range(BANDS * ROWS))
-#: The minima of band b: one of each quarter of the marks, by different steps, so that bands
-#: of a short line, whose neighbouring minima are often one, don't fall together.
-MEMBERS = tuple(tuple(r * BANDS + (b * step + r) % BANDS for r, step in enumerate((1, 3, 7, 9))) for b in range(BANDS))
-#: Of so many minima four bits each are kept; lines of which fewer agree are not compared.
+#: Fixed masks of the MinHash permutations of 32-bit hashes: a shingle's hash XOR a mask.
+MASKS = tuple((x * 0x9E3779B1 % (1 << 32)) - (1 << 31) for x in range(1, 33))
+#: The minima of each band, one of every eight: bands share one minimum at most. Sets that are
+#: alike by 0.8 agree in a band with a probability of 0.994, by 0.85 of 0.999.
+BANDS = tuple((i, 8 + i, 16 + i, 24 + i) for i in range(8)) + tuple((i, 8 + (i + 1) % 8, 16 + (i + 3) % 8, 24 + (i + 5) % 8) for i in range(4))
+#: Of each minimum four bits are kept; lines of which fewer agree are not compared.
 #: Of pairs of a similarity of 0.8 and any length none in three thousand has so few.
-SKETCH, AGREE = 32, 14
+AGREE = 14
 #: What is trimmed off a line's ends.
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -32,22 +29,24 @@ def shingles(line: str, k: int) -> str:
     return f"CASE WHEN length({line}) < {k} THEN array(xxhash64({line})) ELSE element_at(transform(array(encode({line}, 'UTF-32')), b -> {each}), 1) END"
 
 
-def with_bands(lines: DataFrame, k: int) -> DataFrame:
-    """lines with bands and the sketch s1, s2 in place of line.
+def signatures(lines: DataFrame, k: int) -> DataFrame:
+    """(h1, h2, n, bands, s1, s2) of each line that differs from the others: MinHash over all
+    k-character shingles.
 
-    All shingles are hashed once and sorted. The marks are sorted in among them, so that
-    a mark's place tells how many hashes come before it, and thereby the one that follows.
+    Shingles are rows, hashed in generated code, and the minima ordinary aggregates that are
+    combined before the shuffle; equal lines fall together. Four bytes to a character, so
+    that a shingle is a slice; a shorter line is its own one.
     """
-    own = [c for c in lines.columns if c != "line"]
-    # (1 << 63) has no literal of its own in SQL.
-    marks = ["(-9223372036854775807L - 1L)" if m == -(1 << 63) else f"{m}L" for m in MARKS]
-    x = lines.select(*own, F.sort_array(F.expr(shingles("line", k))).alias("s"))
-    x = x.withColumn("o", F.expr(f"sort_array(concat(s, array({', '.join(marks)})))"))
-    minima = ", ".join(f"s[int((array_position(o, {m}) - {i + 1}) % size(s))]" for i, m in enumerate(marks))
-    x = x.select(*own, F.expr(f"array({minima})").alias("m"))
-    bands = ", ".join(f"xxhash64({b}, {', '.join(f'm[{i}]' for i in members)})" for b, members in enumerate(MEMBERS))
-    sketch = [" | ".join(f"shiftleft(m[{i + half}] & 15L, {4 * i})" for i in range(16)) for half in range(0, SKETCH, 16)]
-    return x.select(*own, F.expr(f"array({bands})").alias("bands"), *[F.expr(s).alias(f"s{i}") for i, s in enumerate(sketch, 1)])
+    # A lambda ends the generated function of the scan here, which would be too long to be compiled.
+    x = lines.select("h1", "h2", "n", F.expr("element_at(transform(array(line), x -> encode(x, 'UTF-32')), 1)").alias("b"))
+    x = x.select("h1", "h2", "n", "b", F.expr(f"explode(sequence(1, greatest(length(b) - {4 * k - 1}, 1), 4))").alias("i"))
+    x = x.select("h1", "h2", "n", F.expr(f"cast(shiftright(xxhash64(substring(b, i, {4 * k})), 32) as int)").alias("s"))
+    g = x.groupBy("h1", "h2", "n").agg(*[F.min(F.col("s").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(MASKS)])
+    g = g.select("h1", "h2", "n", F.array(*[f"m{i}" for i in range(len(MASKS))]).alias("m"))
+    bands = ", ".join(f"xxhash64({b}, {', '.join(f'm[{i}]' for i in members)})" for b, members in enumerate(BANDS))
+    # In lambdas, which keep the minima from being put in place of their names over and over.
+    sketch = [f"aggregate(slice(m, {half + 1}, 16), 0L, (a, x) -> shiftleft(a, 4) | (x & 15))" for half in (0, 16)]
+    return g.select("h1", "h2", "n", F.expr(f"element_at(transform(array(m), m -> array({bands})), 1)").alias("bands"), *[F.expr(x).alias(f"s{i}") for i, x in enumerate(sketch, 1)])
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -64,7 +63,7 @@ def _agreeing(x: str, y: str) -> str:
     for s in ("s1", "s2"):
         d = f"({x}{s} ^ {y}{s})"
         parts.append(f"bit_count((({d} | shiftrightunsigned({d}, 1) | shiftrightunsigned({d}, 2) | shiftrightunsigned({d}, 3)) & 1229782938247303441L))")
-    return f"{SKETCH} - {' - '.join(parts)}"
+    return f"{len(MASKS)} - {' - '.join(parts)}"
 
 
 def members_of(distinct: DataFrame) -> DataFrame:
@@ -117,15 +116,11 @@ def similar_lines(lines: DataFrame, distinct: DataFrame, pairs: DataFrame, thres
     return p.where(F.expr(f"exists({sets}, s -> s.both >= {threshold}D * (s.n - s.both))")).select("a", "b")
 
 
-def distinct_lines(lines: DataFrame, first: DataFrame, k: int) -> DataFrame:
-    """(id, h1, h2, n, first, copies, bands, s1, s2): each line that differs from the others, once.
-    Signatures are made where the documents are, of a line's first occurrence alone."""
-    again = first.where("copies > 1").select("h1", "h2", "n", F.struct(*[F.col(f"first.{c}") for c in (*KEY, "pos")]).alias("first"), "copies")
-    j = lines.join(hint_small(cut(again)), ["h1", "h2", "n"], "left")
-    here = F.struct(*KEY, "pos")
-    j = j.where(F.col("first").isNull() | F.col("first").eqNullSafe(here))
-    rows = j.select("h1", "h2", "n", here.alias("first"), F.coalesce("copies", F.lit(1)).alias("copies"), "line")
-    return cut(with_bands(rows, k).withColumn("id", F.monotonically_increasing_id()))
+def distinct_lines(lines: DataFrame, all_lines: DataFrame, k: int) -> DataFrame:
+    """(id, h1, h2, n, first, copies, bands, s1, s2): each line that differs from the others, once,
+    with its first place. Both sides of the join are dealt by its keys already."""
+    first = all_lines.groupBy("h1", "h2", "n").agg(F.min(F.struct(*KEY, "pos")).alias("first"), F.count("*").alias("copies"))
+    return cut(first.join(signatures(lines, k), ["h1", "h2", "n"]).withColumn("id", F.monotonically_increasing_id()))
 
 
 def gone_lines(docs: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame:
@@ -137,8 +132,7 @@ def gone_lines(docs: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame
     """
     lines = lines_of(docs)
     all_lines = cut(lines.drop("line"))
-    first = cut(all_lines.groupBy("h1", "h2", "n").agg(F.min(F.struct(*KEY, "pos")).alias("first"), F.count("*").alias("copies")))
-    distinct = distinct_lines(lines, first, k)
+    distinct = distinct_lines(lines, all_lines, k)
     members = members_of(distinct)
     pairs = cut(leader_pairs(members))
     groups = cut(connected_components(similar_lines(lines, distinct, pairs, threshold, k), "a", "b"))
