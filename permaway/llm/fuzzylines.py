@@ -15,8 +15,8 @@ MASKS = tuple((x * 0x9E3779B1 % (1 << 32)) - (1 << 31) for x in range(1, 33))
 #: alike by 0.8 agree in a band with a probability of 0.994, by 0.85 of 0.999.
 BANDS = tuple((i, 8 + i, 16 + i, 24 + i) for i in range(8)) + tuple((i, 8 + (i + 1) % 8, 16 + (i + 3) % 8, 24 + (i + 5) % 8) for i in range(4))
 #: Of each minimum four bits are kept; lines of which fewer agree are not compared.
-#: Of pairs of a similarity of 0.8 and any length none in three thousand has so few.
-AGREE = 14
+#: Of pairs of a similarity of 0.8 less than one in a thousand has so few.
+AGREE = 17
 #: What is trimmed off a line's ends.
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -77,7 +77,7 @@ def members_of(distinct: DataFrame) -> DataFrame:
 def leader_pairs(members: DataFrame) -> DataFrame:
     """(a, b) with a < b: every line and the leaders of its buckets, those of the smallest id and
     of the smallest hash of id and band: aggregates combined before the shuffle, joined back so
-    that the lines of a hot bucket are spread over tasks. `left_pairs` has the others."""
+    that the lines of a hot bucket are spread over tasks. `left_links` has the others."""
     row = F.struct("id", "s1", "s2")
     g = members.groupBy("band").agg(F.min(row).alias("one"), F.min(F.struct(F.xxhash64("id", "band").alias("h"), "id", "s1", "s2")).alias("two"))
     leaders = cut(g.select("band", F.explode(F.array("one", F.struct("two.id", "two.s1", "two.s2"))).alias("o")).select("band", F.col("o.id").alias("oid"), F.col("o.s1").alias("os1"), F.col("o.s2").alias("os2")).distinct())
@@ -85,35 +85,68 @@ def leader_pairs(members: DataFrame) -> DataFrame:
     return j.select(F.least("id", "oid").alias("a"), F.greatest("id", "oid").alias("b")).distinct()
 
 
-def left_pairs(members: DataFrame, groups: DataFrame) -> DataFrame:
-    """(a, b) with a < b: the pairs of a bucket that no component holds yet.
+def mixed_buckets(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """members with component and major, the bucket's largest one, of buckets that hold lines of
+    several components. Groups of near copies are tied by their leaders, and a bucket of one
+    component is done."""
+    b = cut(members.join(groups.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id")))
+    size = b.groupBy("band", "component").agg(F.count("*").alias("c"))
+    major = size.groupBy("band").agg(F.max(F.struct("c", "component")).alias("x"), F.count("*").alias("kinds")).where("kinds > 1")
+    return cut(b.join(cut(major.select("band", F.col("x.component").alias("major"))), "band"))
+
+
+def left_links(lines: DataFrame, distinct: DataFrame, members: DataFrame, groups: DataFrame, threshold: float, k: int) -> DataFrame:
+    """(a, b): the links within buckets that no component holds yet.
 
-    Groups of near copies are tied by their leaders, and a bucket of one component is done.
-    In others, lines outside the bucket's largest component are compared with all that are of
-    another one, so that a very large group of copies is not compared with itself.
+    Lines outside a bucket's largest component are compared with all that are of another one,
+    so that a very large group of copies is not compared with itself. Semi-joins on the
+    sketches tell first which lines have any candidate, and only those carry their texts;
+    then a pair is compared in the first band that it shares, within the join, which gives
+    links alone. No list of pairs is ever made.
     """
-    b = members.join(groups.select(F.col("node").alias("id"), "component"), "id", "left")
-    b = cut(b.withColumn("component", F.coalesce("component", "id")))
-    size = b.groupBy("band", "component").agg(F.count("*").alias("c"))
-    major = cut(size.groupBy("band").agg(F.max(F.struct("c", "component")).alias("x"), F.count("*").alias("kinds")).where("kinds > 1").select("band", F.col("x.component").alias("major")))
-    mixed = cut(b.join(major, "band"))
-    x = mixed.where("component <> major").select("band", *[F.col(c).alias("x" + c) for c in ("id", "s1", "s2", "component")])
-    y = mixed.select("band", "major", *[F.col(c).alias("y" + c) for c in ("id", "s1", "s2", "component")])
-    j = x.join(y, "band").where("xcomponent <> ycomponent and (xid < yid or ycomponent = major)").where(f"{_agreeing('x', 'y')} >= {AGREE}")
-    return j.select(F.least("xid", "yid").alias("a"), F.greatest("xid", "yid").alias("b")).distinct()
+    mixed = mixed_buckets(members, groups)
+    at = lambda df, x, *more: df.select("band", *more, *[F.col(c).alias(x + c) for c in ("id", "s1", "s2", "component")])
+    x, y = at(mixed.where("component <> major"), "x"), at(mixed, "y", "major")
+    candidate = F.expr(f"xcomponent <> ycomponent and (xid < yid or ycomponent = major) and {_agreeing('x', 'y')} >= {AGREE}")
+    xs, ys = (cut(one.join(other.withColumnRenamed("band", "_band"), (F.col("band") == F.col("_band")) & candidate, "left_semi")) for one, other in ((x, y), (y, x)))
+    refs = xs.select(F.col("xid").alias("id")).union(ys.select("yid")).distinct()
+    # A quarter of a line's shingles by their hashes tells pairs that fall short by far.
+    quarter = F.expr(f"transform(filter(array_distinct({shingles('line', k)}), h -> (h & 3) = 0), h -> int(shiftright(h, 32)))")
+    texts = cut(texts_of(lines, distinct, refs).withColumn("q", quarter).join(distinct.select("id", "bands"), "id"))
+    x, y = (r.join(texts.select(F.col("id").alias(n + "id"), *[F.col(c).alias(c + n) for c in ("line", "bands", "q")]), n + "id") for r, n in ((xs, "x"), (ys, "y")))
+    first = F.col("band") == F.array_min(F.array_intersect("bandsx", "bandsy"))
+    j = cut(x).join(cut(y).withColumnRenamed("band", "_band"), (F.col("band") == F.col("_band")) & candidate & first & F.expr(_near(threshold)) & F.expr(_similar("linex", "liney", threshold, k)))
+    return j.select(F.col("xid").alias("a"), F.col("yid").alias("b"))
+
+
+def _near(threshold: float) -> str:
+    """SQL of whether the Jaccard similarity of the quarters qx and qy is no more than 3.3 of its
+    standard deviations under the threshold: of pairs that reach it, one in two thousand is not."""
+    width = 3.3 * (threshold * (1 - threshold)) ** 0.5
+    union = "(s.n - s.both)"
+    sizes = "transform(array(size(array_intersect(qx, qy))), b -> struct(size(qx) + size(qy) as n, b as both))"
+    return f"exists({sizes}, s -> s.n = 0 or s.both >= ({threshold}D - {width!r}D / sqrt(greatest({union}, 1))) * {union})"
+
+
+def texts_of(lines: DataFrame, distinct: DataFrame, refs: DataFrame) -> DataFrame:
+    """(id, line) of the lines of these ids, fetched by digest and first place."""
+    at = cut(distinct.select("id", "h1", "h2", "n", "first").join(refs, "id").select("id", "h1", "h2", "n", *[F.col(f"first.{c}").alias("_first_" + c) for c in (*KEY, "pos")]))
+    here = " and ".join(f"{c} <=> _first_{c}" for c in (*KEY, "pos"))
+    return lines.join(hint_small(at), ["h1", "h2", "n"]).where(here).select("id", "line").dropDuplicates(["id"])
+
+
+def _similar(x: str, y: str, threshold: float, k: int) -> str:
+    """SQL of whether two lines' shingle sets reach the threshold. Bound by lambdas, so that the
+    sets are made once a pair wherever the condition is pushed."""
+    sets = f"transform(array(struct(array_distinct({shingles(x, k)}) as sa, array_distinct({shingles(y, k)}) as sb)), s -> struct(size(s.sa) + size(s.sb) as n, size(array_intersect(s.sa, s.sb)) as both))"
+    return f"exists({sets}, s -> s.both >= {threshold}D * (s.n - s.both))"
 
 
 def similar_lines(lines: DataFrame, distinct: DataFrame, pairs: DataFrame, threshold: float, k: int) -> DataFrame:
     """The pairs whose k-character shingle sets have a Jaccard similarity of the threshold or more."""
-    refs = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    at = cut(distinct.select("id", "h1", "h2", "n", "first").join(refs, "id").select("id", "h1", "h2", "n", *[F.col(f"first.{c}").alias("_first_" + c) for c in (*KEY, "pos")]))
-    here = " and ".join(f"{c} <=> _first_{c}" for c in (*KEY, "pos"))
-    texts = cut(lines.join(hint_small(at), ["h1", "h2", "n"]).where(here).select("id", "line").dropDuplicates(["id"]))
+    texts = cut(texts_of(lines, distinct, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()))
     left, right = (texts.select(F.col("id").alias(x), F.col("line").alias("l" + x)) for x in "ab")
-    p = pairs.join(left, "a").join(right, "b")
-    # Bound by lambdas, so that the sets are made once a pair wherever the filter is pushed.
-    sets = f"transform(array(struct(array_distinct({shingles('la', k)}) as sa, array_distinct({shingles('lb', k)}) as sb)), s -> struct(size(s.sa) + size(s.sb) as n, size(array_intersect(s.sa, s.sb)) as both))"
-    return p.where(F.expr(f"exists({sets}, s -> s.both >= {threshold}D * (s.n - s.both))")).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").where(F.expr(_similar("la", "lb", threshold, k))).select("a", "b")
 
 
 def distinct_lines(lines: DataFrame, all_lines: DataFrame, k: int) -> DataFrame:
@@ -123,6 +156,14 @@ def distinct_lines(lines: DataFrame, all_lines: DataFrame, k: int) -> DataFrame:
     return cut(first.join(signatures(lines, k), ["h1", "h2", "n"]).withColumn("id", F.monotonically_increasing_id()))
 
 
+def line_groups(lines: DataFrame, distinct: DataFrame, members: DataFrame, threshold: float, k: int) -> DataFrame:
+    """(node, component) of the lines that resemble another: leaders first, then what is left."""
+    links = similar_lines(lines, distinct, cut(leader_pairs(members)), threshold, k)
+    groups = cut(connected_components(links, "a", "b"))
+    more = left_links(lines, distinct, members, groups, threshold, k)
+    return connected_components(more.unionByName(groups.select(F.col("component").alias("a"), F.col("node").alias("b"))), "a", "b")
+
+
 def gone_lines(docs: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame:
     """(doc_id, r1, r2, gone array<int>): positions of lines whose component has an earlier line.
 
@@ -134,11 +175,7 @@ def gone_lines(docs: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame
     all_lines = cut(lines.drop("line"))
     distinct = distinct_lines(lines, all_lines, k)
     members = members_of(distinct)
-    pairs = cut(leader_pairs(members))
-    groups = cut(connected_components(similar_lines(lines, distinct, pairs, threshold, k), "a", "b"))
-    pairs = cut(left_pairs(members, groups))
-    more = similar_lines(lines, distinct, pairs, threshold, k).unionByName(groups.select(F.col("component").alias("a"), F.col("node").alias("b")))
-    groups = connected_components(more, "a", "b")
+    groups = line_groups(lines, distinct, members_of(distinct), threshold, k)
     # Written down, so that the join of a component's lines with its head can be split.
     at = cut(distinct.select(F.col("id").alias("node"), "first").join(groups, "node"))
     heads = cut(at.groupBy("component").agg(F.min("first").alias("head")))
