@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from permaway.llm.batches import text_batches
+from permaway.operators.scratch import cut, hint_small
 
 #: Every byte that is no part of a word becomes a blank and A-Z become a-z; bytes of
 #: other characters stay, so that words are [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ after lower-casing.
@@ -53,7 +54,6 @@ class ItemAutomaton:
         order = sorted(range(1, len(self.trans)), key=self.length.__getitem__)
         for v in reversed(order):
             own[self.link[v]] |= own[v]
-        self.items = own
         self.top = [0] * len(self.trans)
         self.short: list[tuple] = [()] * len(self.trans)
         here: dict[int, list] = {}
@@ -63,6 +63,7 @@ class ItemAutomaton:
             up = self.link[v]
             self.short[v] = self.short[up] + tuple(here.get(v, ()))
             self.top[v] = 0 if self.length[v] < window else v if self.length[up] < window else self.top[up]
+        self.items = {v: own[v] for v in set(self.top)}
 
     def _extend(self, last: int, c: int) -> int:
         trans, link, length = self.trans, self.link, self.length
@@ -163,55 +164,71 @@ def benchmark_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> It
 SCAN = "n_words bigint, spans array<struct<a:int,b:int>>, items array<string>"
 
 
-def scan_benchmark(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", window: int = 10) -> tuple[DataFrame, int]:
-    """(key, n_words, spans, items) for every row of docs: the word spans covered by item
-    windows and the ids of the items met. No shuffle: one narrow pass for each block of
-    the benchmark, whose size alone bounds what is sent to executors. Also the number of passes: beyond one,
-    a row of docs has a row here for each."""
-    docs = text_batches(docs)
-    kind = docs.schema[key].dataType.simpleString()
-    out, passes = None, 0
-    for block in benchmark_blocks(benchmark):
-        passes += 1
-        auto = docs.sparkSession.sparkContext.broadcast(ItemAutomaton(block, window))
+def joined_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Half-open spans in order, those that touch or overlap made one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def scan_rows(rows: DataFrame, blocks: list, all_rows: bool = True) -> DataFrame:
+    """(row, n_words, spans, items) of rows(row, text): the word spans covered by item windows and
+    the ids of the items met; without all_rows only of rows with spans. One narrow pass for each
+    block of the benchmark (a broadcast automaton), which bounds what a worker holds; where
+    there are several, a row's parts are gathered by row."""
+    out = None
+    for auto in blocks:
 
         def scanned(batches, auto=auto):
             a = auto.value
             for batch in batches:
-                words, spans, items = [], [], []
-                for text in batch.column(1).to_pylist():
-                    w = (text or b"").translate(FOLD).split()
+                keep, words, spans, items = [], [], [], []
+                for i, text in enumerate(batch.column(1)):
+                    w = (text.as_py() or b"").translate(FOLD).split()
                     s, met = a.scan(w)
-                    words.append(len(w))
-                    spans.append([{"a": x, "b": y} for x, y in s])
-                    items.append([a.names[k] for k in met])
+                    if s or all_rows:
+                        keep.append(i)
+                        words.append(len(w))
+                        spans.append([{"a": x, "b": y} for x, y in s])
+                        items.append([a.names[k] for k in met])
                 own = [
-                    batch.column(0),
+                    batch.column(0).take(pa.array(keep, pa.int64())),
                     pa.array(words, pa.int64()),
                     pa.array(spans, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))),
                     pa.array(items, pa.list_(pa.string())),
                 ]
-                yield pa.RecordBatch.from_arrays(own, ["key", "n_words", "spans", "items"])
+                yield pa.RecordBatch.from_arrays(own, ["row", "n_words", "spans", "items"])
 
-        src = docs.select(F.col(key).alias("key"), F.col("text").cast("binary").alias("text"))
-        one = src.mapInArrow(scanned, f"key {kind}, {SCAN}")
+        src = rows.select("row", F.col("text").cast("binary").alias("text"))
+        one = src.mapInArrow(scanned, f"row {rows.schema['row'].dataType.simpleString()}, {SCAN}")
         out = one if out is None else out.unionByName(one)
-    return out, passes
+    if len(blocks) > 1:
+        out = out.groupBy("row").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+    return out
+
+
+def automata(docs: DataFrame, benchmark: DataFrame, window: int) -> list:
+    return [docs.sparkSession.sparkContext.broadcast(ItemAutomaton(block, window)) for block in benchmark_blocks(benchmark)]
 
 
 def digest_query(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated; one row per document.
-
-    Null and empty texts have no words; items without words never occur. Where a
-    benchmark takes several blocks, a document's parts are gathered by doc_id."""
-    parts, passes = scan_benchmark(docs, benchmark, window=window)
-    flat = parts.selectExpr("key as doc_id", "n_words", "spans", "items")
-    if passes > 1:
-        g = flat.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
-        covered = "array_distinct(flatten(transform(spans, s -> sequence(s.a, s.b - 1))))"
-        flat = g.selectExpr("doc_id", "n_words", f"cast(size({covered}) as bigint) as n_hit", "items")
-    else:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated; one row per row of docs.
+
+    Null and empty texts have no words; items without words never occur. The result is the
+    same however many blocks the benchmark takes."""
+    docs = text_batches(docs)
+    blocks = automata(docs, benchmark, window)
+    if len(blocks) == 1:
+        flat = scan_rows(docs.select(F.col("doc_id").alias("row"), "text"), blocks).withColumnRenamed("row", "doc_id")
         flat = flat.selectExpr("doc_id", "n_words", "aggregate(spans, 0L, (x, s) -> x + s.b - s.a) as n_hit", "items")
+    else:
+        rows = cut(docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id()))
+        covered = "array_distinct(flatten(transform(spans, s -> sequence(s.a, s.b - 1))))"
+        flat = scan_rows(rows, blocks).join(rows.select("row", "doc_id"), "row").selectExpr("doc_id", "n_words", f"cast(size({covered}) as bigint) as n_hit", "items")
     flat = flat.withColumn("items", F.array_sort(F.array_distinct("items")))
     return flat.select(
         "doc_id", "n_words", "n_hit",
@@ -221,6 +238,20 @@ def digest_query(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Dat
     )
 
 
+def without_spans(raw: bytes, spans: list[tuple[int, int]], folded: bytes | None = None) -> bytes:
+    """The text less these word spans and what stands between their words; a line break is left."""
+    starts, stops = word_offsets(raw.translate(FOLD) if folded is None else folded)
+    done, parts = 0, []
+    for x, y in spans:
+        parts += [raw[done : starts[x]].rstrip(b" \t"), b"\n"]
+        done = int(stops[y - 1])
+    return b"".join([*parts, raw[done:]])
+
+
+def too_much(spans: list[tuple[int, int]], n_words: int, most_coverage: float, most_span: int) -> bool:
+    return sum(y - x for x, y in spans) > most_coverage * n_words or max(y - x for x, y in spans) > most_span
+
+
 def remove_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, most_coverage: float = 0.5, most_span: int = 400) -> DataFrame:
     """docs without the words that item windows cover.
 
@@ -228,47 +259,85 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10
     one span exceeds most_span words; else the spans go, with what stands between
     their words, and a line break is left. Cutting is repeated until no window is left,
     since the words on both sides of a cut may form one. A document without hits is
-    returned as it is. Null texts stay. All columns are kept; n_chars follows the text."""
-    docs = text_batches(docs)
-    cols, schema = docs.columns, docs.schema
-    out = docs
-    for block in benchmark_blocks(benchmark):
-        auto = docs.sparkSession.sparkContext.broadcast(ItemAutomaton(block, window))
+    returned as it is, as are null, empty and repeated rows (each for itself). All columns
+    are kept, whatever their names; n_chars follows the text; an empty table gives none.
 
-        def cleaned(batches, auto=auto):
-            a, at = auto.value, cols.index("text")
+    A benchmark of several blocks gives the same: the spans of all blocks are gathered for each
+    row before the limits are applied, and the rows that were cut are scanned again by all.
+    """
+    docs = text_batches(docs)
+    blocks = automata(docs, benchmark, window)
+    if len(blocks) == 1:
+        return _cleaned_at_once(docs, blocks[0], most_coverage, most_span)
+    rows = cut(docs.select(F.struct("*").alias("_d"), F.monotonically_increasing_id().alias("row")))
+    now = rows.select("row", F.col("_d.text").alias("text"))
+    done, first = None, True
+    while True:
+        hits = cut(scan_rows(now, blocks, False).select("row", "n_words", "spans"))
+        texts = now.join(hint_small(hits), "row")
+        limits = (most_coverage, most_span) if first else None
+
+        def cutting(batches, limits=limits):
             for batch in batches:
-                keep, texts = [], []
-                for text in batch.column(at).to_pylist():
-                    raw = None if text is None else text.encode()
-                    first = True
-                    while raw is not None:
-                        folded = raw.translate(FOLD)
-                        words = folded.split()
-                        spans, _ = a.scan(words)
-                        if not spans:
-                            break
-                        if first and (sum(y - x for x, y in spans) > most_coverage * len(words) or max(y - x for x, y in spans) > most_span):
-                            raw = None
-                            break
-                        first = False
-                        starts, stops = word_offsets(folded)
-                        done, parts = 0, []
-                        for x, y in spans:
-                            parts += [raw[done : starts[x]].rstrip(b" \t"), b"\n"]
-                            done = int(stops[y - 1])
-                        raw = b"".join([*parts, raw[done:]])
-                    keep.append(text is None or raw is not None)
-                    texts.append(None if raw is None else raw.decode())
-                b = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.column(at).type))
-                if "n_chars" in cols:
-                    i = cols.index("n_chars")
-                    sizes = [old if new == was or new is None else len(new) for old, new, was in zip(batch.column(i).to_pylist(), texts, batch.column(at).to_pylist(), strict=True)]
-                    b = b.set_column(i, batch.schema.field(i), pa.array(sizes, batch.column(i).type))
-                yield b.filter(pa.array(keep, pa.bool_()))
-
-        out = out.mapInArrow(cleaned, schema)
-    return out
+                out = []
+                for text, n, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                    s = joined_spans([(x["a"], x["b"]) for x in spans])
+                    out.append(None if limits and too_much(s, n, *limits) else without_spans(text.encode(), s).decode())
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["row", "text"])
+
+        changed = cut(texts.select("row", "text", "n_words", "spans").mapInArrow(cutting, "row bigint, text string"))
+        if changed.isEmpty():
+            break
+        # A row's last text counts; null marks one that is dropped.
+        done = changed if done is None else done.join(changed.select("row"), "row", "left_anti").unionByName(changed)
+        done, now, first = cut(done), changed.where("text is not null"), False
+    if done is None:
+        return docs
+    new = done.select(F.col("row").alias("_row"), F.col("text").alias("_text"))
+    j = rows.join(hint_small(new), F.col("row") == F.col("_row"), "left").where("_row is null or _text is not null")
+    hit = F.col("_row").isNotNull()
+    pick = {"text": F.when(hit, F.col("_text")).otherwise(F.col("_d.text")), "n_chars": F.when(hit, F.length("_text")).otherwise(F.col("_d.n_chars")) if "n_chars" in docs.columns else None}
+    return j.select(*[pick[c].cast(docs.schema[c].dataType).alias(c) if c in pick else F.col(f"_d.`{c}`") for c in docs.columns])
+
+
+def _cleaned_at_once(docs: DataFrame, auto, most_coverage: float, most_span: int) -> DataFrame:
+    """remove_contamination for one block, in one narrow pass."""
+    cols = docs.columns
+    at, sizes_at = cols.index("text"), cols.index("n_chars") if "n_chars" in cols else None
+
+    def cleaned(batches):
+        a = auto.value
+        for batch in batches:
+            keep, new = np.ones(batch.num_rows, bool), {}
+            for i, text in enumerate(batch.column(at)):
+                raw = (text.as_py() or "").encode()
+                first = True
+                while True:
+                    folded = raw.translate(FOLD)
+                    words = folded.split()
+                    spans, _ = a.scan(words)
+                    if not spans:
+                        break
+                    if first and too_much(spans, len(words), most_coverage, most_span):
+                        keep[i] = False
+                        break
+                    raw, first = without_spans(raw, spans, folded), False
+                    new[i] = raw
+            if any(keep[i] for i in new):
+                columns = list(batch.columns)
+                texts = columns[at].to_pylist()
+                sizes = None if sizes_at is None else columns[sizes_at].to_pylist()
+                for i, raw in new.items():
+                    texts[i] = raw.decode()
+                    if sizes is not None:
+                        sizes[i] = len(texts[i])
+                columns[at] = pa.array(texts, columns[at].type)
+                if sizes is not None:
+                    columns[sizes_at] = pa.array(sizes, columns[sizes_at].type)
+                batch = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+            yield batch if keep.all() else batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(cleaned, docs.schema)
 
 
 def items_digest(items: list[str]) -> str:

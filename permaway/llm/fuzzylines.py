@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from permaway.llm.rows import KEY, join_rows, text_keys
+from permaway.llm.rows import KEY, join_found, join_rows, text_keys
 from permaway.operators.components import connected_components
 from permaway.operators.scratch import cut, hint_small
 
@@ -70,7 +70,7 @@ def members_of(distinct: DataFrame) -> DataFrame:
     """(band, id, s1, s2): the lines in each bucket of two or more."""
     b = distinct.select("id", F.explode("bands").alias("band"))
     met = cut(b.groupBy("band").agg(F.count("*").alias("c")).where("c > 1").select("band"))
-    at = cut(b.join(hint_small(met), "band"))
+    at = cut(join_found(b, met, ["band"], "band"))
     return cut(at.join(distinct.select("id", "s1", "s2"), "id").select("band", "id", "s1", "s2"))
 
 
@@ -132,7 +132,7 @@ def texts_of(lines: DataFrame, distinct: DataFrame, refs: DataFrame) -> DataFram
     """(id, line) of the lines of these ids, fetched by digest and first place."""
     at = cut(distinct.select("id", "h1", "h2", "n", "first").join(refs, "id").select("id", "h1", "h2", "n", *[F.col(f"first.{c}").alias("_first_" + c) for c in (*KEY, "pos")]))
     here = " and ".join(f"{c} <=> _first_{c}" for c in (*KEY, "pos"))
-    return lines.join(hint_small(at), ["h1", "h2", "n"]).where(here).select("id", "line").dropDuplicates(["id"])
+    return join_found(lines, at, ["h1", "h2", "n"], "h1").where(here).select("id", "line").dropDuplicates(["id"])
 
 
 def _similar(x: str, y: str, threshold: float, k: int) -> str:
@@ -183,7 +183,7 @@ def gone_lines(docs: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame
     keep = distinct.select("id", "h1", "h2", "n", "first", "copies").join(moved, "id", "left").withColumn("keep", F.coalesce("head", "first"))
     keep = cut(keep.where("copies > 1 or keep <> first").select("h1", "h2", "n", *[F.col(f"keep.{c}").alias("_keep_" + c) for c in (*KEY, "pos")]))
     here = " and ".join(f"{c} <=> _keep_{c}" for c in (*KEY, "pos"))
-    gone = all_lines.join(hint_small(keep), ["h1", "h2", "n"]).where(f"not ({here})")
+    gone = join_found(all_lines, keep, ["h1", "h2", "n"], "h1").where(f"not ({here})")
     return gone.groupBy(*KEY).agg(F.sort_array(F.collect_set("pos")).alias("gone"))
 
 

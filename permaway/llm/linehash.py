@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from permaway.llm.batches import text_batches
-from permaway.llm.rows import KEY, join_rows, text_keys
+from permaway.llm.rows import KEY, join_found, join_rows, text_keys
 from permaway.operators.scratch import cut, hint_small
 
 #: Words from which a sentence within a line is a unit of its own.
@@ -80,7 +80,7 @@ def repeated_units(docs: DataFrame, words: int = SENTENCE_WORDS) -> DataFrame:
     first = units.groupBy("h1", "h2").agg(F.min(F.struct(*KEY, "unit")).alias("first"), F.count("*").alias("n")).where("n > 1")
     first = cut(first.select("h1", "h2", *[F.col(f"first.{c}").alias("_first_" + c) for c in (*KEY, "unit")]))
     again = " and ".join(f"{c} <=> _first_{c}" for c in (*KEY, "unit"))
-    gone = units.join(hint_small(first), ["h1", "h2"]).where(f"not ({again})")
+    gone = join_found(units, first, ["h1", "h2"], "h1").where(f"not ({again})")
     return gone.groupBy(*KEY).agg(F.sort_array(F.collect_set("unit")).alias("gone"))
 
 

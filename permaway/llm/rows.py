@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from permaway.operators.scratch import BROADCAST_BYTES, BROADCAST_ROWS, bytes_of
+
 #: The key of a row: its doc_id and 128 bits of its text. Rows that share a doc_id keep their own units.
 KEY = ("doc_id", "r1", "r2")
 
@@ -20,3 +22,25 @@ def join_rows(docs: DataFrame, found: DataFrame) -> DataFrame:
     r1, r2 = text_keys(F.col("_d.text"))
     same = F.col("_d.doc_id").eqNullSafe(F.col("_key_doc_id")) & (r1 == F.col("_key_r1")) & (r2 == F.col("_key_r2"))
     return docs.select(F.struct("*").alias("_d")).join(named, same, "left").drop(*["_key_" + c for c in KEY])
+
+
+#: Words of 64 bits in a sieve; its table has so many rows at most, whatever it is made from.
+SIEVE_WORDS = 1 << 20
+
+
+def _bit(key: str) -> tuple[str, str]:
+    return f"shiftrightunsigned({key}, 6) & {SIEVE_WORDS - 1}L", f"shiftleft(1L, int({key} & 63))"
+
+
+def join_found(big: DataFrame, found: DataFrame, keys: list[str], hashed: str) -> DataFrame:
+    """big joined with found, a cut table of rows that hold few of big's keys.
+
+    A small table is sent to where big is. Of a larger one a sieve is sent, one bit for each
+    value of the hashed key, and only what the bits let through is shuffled: a fixed size, and
+    no more than a shuffle of all where the table has grown beyond its use."""
+    if bytes_of(found) <= BROADCAST_BYTES and found.count() <= BROADCAST_ROWS:
+        return big.join(F.broadcast(found), keys)
+    word, bit = _bit(hashed)
+    sieve = found.groupBy(F.expr(word).alias("_word")).agg(F.bit_or(F.expr(bit)).alias("_bits"))
+    thin = big.withColumn("_w", F.expr(word)).join(F.broadcast(sieve), F.col("_w") == F.col("_word")).where(f"_bits & {bit} <> 0")
+    return thin.drop("_w", "_word", "_bits").join(found, keys)

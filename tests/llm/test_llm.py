@@ -221,6 +221,23 @@ def test_blocks_of_items_agree(spark, monkeypatch):
     same(decontaminate.digest_query(docs, items).toPandas(), one)
 
 
+def test_blocks_give_one_answer(spark, monkeypatch):
+    word = [f"w{i}" for i in range(400)]
+    text = lambda *spans: " ".join(x for a, b in spans for x in word[a:b])
+    items = [(1, text((0, 20))), (2, text((20, 40))), (3, text((100, 112))), (4, text((200, 206), (206, 212))), (5, "solo")]
+    # 40 of 65 words in two items; a window of item 4 that arises from cutting item 3 out; two rows of an id.
+    rows = [(1, text((0, 40), (300, 325)), "s"), (2, text((300, 330), (200, 206), (100, 112), (206, 212), (340, 370)), "s"), (3, text((300, 340), (0, 20)), "s"), (3, text((340, 380), (20, 40)), "s"), (4, "all of it solo here and so on", "s"), (5, None, "s"), (6, "", "s"), (7, text((300, 340)), "s")]
+    items, docs = spark.createDataFrame(items, "item_id long, text string").repartition(1), make(spark, rows)
+    one = [decontaminate.digest_query(docs, items).toPandas(), decontaminate.remove_contamination(docs, items).toPandas()]
+    monkeypatch.setattr(decontaminate.benchmark_blocks, "__defaults__", (5,))
+    assert len(list(decontaminate.benchmark_blocks(items))) > 3
+    same(decontaminate.digest_query(docs, items).toPandas(), one[0])
+    same(decontaminate.remove_contamination(docs, items).toPandas(), one[1])
+    kept = one[1]
+    assert sorted(kept.doc_id) == [2, 3, 3, 4, 5, 6, 7] and len(one[0]) == len(rows)
+    assert decontaminate.digest_query(spark.createDataFrame(kept), items).where("contaminated").count() == 0
+
+
 def test_passages_are_cut_out(spark, odd):
     items = spark.createDataFrame([(1, "one two three four five six seven eight nine ten eleven")], "item_id long, text string")
     around = " ".join(f"w{i}" for i in range(40))
