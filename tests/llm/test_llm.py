@@ -318,6 +318,18 @@ def test_search_against_brute_force(spark):
     assert topk.top_k(df.where("false"), lambda i: i % 50 == 0).count() == 0
 
 
+def test_wide_vectors_and_repeated_rows(spark):
+    rows = [(0, [1.0, -2.0, 0.5]), (1, [float(1 << 21), 0.0, 1.0]), (2, [3e9, 3e9, 3e9]), (3, [1e30, 0.0, 0.0]), (4, [1.0, 1.0, 1.0]), (50, [float(1 << 22), 1.0, 0.0]), (5, [2e30, -1e12, 0.0]), (6, [-1e25, 0.0, 0.0])]
+    rows += [(7, [9.0, 9.0, 9.0])] * 9 + [(8, [1.0, 2.0, 3.0]), (9, [1.0, 2.0, 2.0])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3), lambda i: i % 50 == 0).collect()
+    q = {i: [int(np.floor(256 * x)) if abs(x) < 1e12 else int(256 * x) for x in v] for i, v in rows}
+    want = []
+    for i in (0, 50):
+        best = sorted((-sum(a * b for a, b in zip(q[i], q[j], strict=True)), j) for j in q if j != i)[:5]
+        want += [(i, k + 1, j, min(max(-s, topk.LEAST), topk.MOST)) for k, (s, j) in enumerate(best)]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 # 7 fuzzy lines
 
 
