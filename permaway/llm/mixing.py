@@ -6,19 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from permaway.operators.scratch import cut
+from permaway.operators.scratch import BROADCAST_BYTES, bytes_of, cut
 
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Source tables of at most this many rows are broadcast; larger ones are joined by a salted key.
 BROADCAST_ROWS = 50_000
 SALTS = 64
+#: Turns of the draws among which each source takes the one that comes nearest to its target.
+TURNS = 64
 
 
-def unit_draw(key: Column, seed: str) -> Column:
-    """A number in [0, 1) that depends on the key and the seed alone."""
+def draw(key: Column, seed: str, turn: Column) -> Column:
+    """A number in [0, 1) that depends on the key and the seed alone, moved on around the circle
+    by turn / TURNS."""
     text = F.concat(F.lit(seed), F.lit(":"), F.coalesce(key.cast("string"), F.lit("null")))
-    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+    at = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint") + turn.cast("bigint") * F.lit((1 << 52) // TURNS)
+    return F.pmod(at, F.lit(1 << 52)).cast("double") / F.lit(float(1 << 52))
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3) -> DataFrame:
@@ -46,23 +50,40 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most:
     return per.select("source", "source_size", F.least(F.col("cap"), level * F.col("w")).alias("target"))
 
 
+def _beside(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """rows(_d struct with source and doc_id, ...) with the columns of table(_source, ...), a cut table
+    of a row for each source: a small one is sent to where the rows are, a larger one is joined
+    on source and salt, so that a hot source is spread over tasks."""
+    same = F.col("_d.source").eqNullSafe(F.col("_source"))
+    if table.count() <= BROADCAST_ROWS and bytes_of(table) <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(table), same)
+    salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    with_salt = rows.withColumn("_row_salt", F.pmod(F.xxhash64("_d.doc_id"), F.lit(SALTS)).cast("int"))
+    return with_salt.join(salted, same & (F.col("_row_salt") == F.col("_salt")))
+
+
+def _copies(seed: str) -> Column:
+    """floor(rate), and one more where the document's draw is under the fraction."""
+    extra = draw(F.col("_d.doc_id"), seed, F.col("_turn")) < F.col("_rate") - F.floor("_rate")
+    return F.floor("_rate").cast("bigint") + extra.cast("bigint")
+
+
 def _rated(rows: DataFrame, sized: DataFrame, weights: tuple[int, ...], most: int, seed: str) -> DataFrame:
-    """rows(_d struct with source and doc_id, _size) with its source's figures and copies.
+    """rows(_d struct with source and doc_id, ...) with its source's figures and copies.
 
-    The table of sources is counted; a small one is sent to where the rows are, a larger
-    one is joined on source and salt, so that a hot source is spread over tasks."""
-    targets = cut(source_targets(sized, weights, most)).withColumnRenamed("source", "_source")
-    same = F.col("_d.source").eqNullSafe(F.col("_source"))
-    if targets.count() <= BROADCAST_ROWS:
-        j = rows.join(F.broadcast(targets), same)
-    else:
-        salted = targets.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        with_salt = rows.withColumn("_row_salt", F.pmod(F.xxhash64("_d.doc_id"), F.lit(SALTS)).cast("int"))
-        j = with_salt.join(salted, same & (F.col("_row_salt") == F.col("_salt")))
+    Draws scatter, most of all in a source of few documents. So every source's words are
+    summed up under each turn of the draws, and the turn that comes nearest to the target is
+    taken: all sums are one aggregate, combined before its shuffle. A document is as likely
+    to get its extra copy under any turn."""
+    targets = source_targets(sized, weights, most)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    j = j.withColumn("_rate", rate)
-    extra = (unit_draw(F.col("_d.doc_id"), seed) < F.col("_rate") - F.floor("_rate")).cast("bigint")
-    return j.withColumn("_copies", F.floor("_rate").cast("bigint") + extra)
+    targets = cut(targets.withColumnRenamed("source", "_source").withColumn("_rate", rate))
+    j = _beside(sized.select(F.struct("doc_id", "source").alias("_d"), "size"), targets)
+    j = j.withColumn("_turn", F.explode(F.sequence(F.lit(0), F.lit(TURNS - 1))))
+    sums = j.groupBy("_source", "_turn").agg(F.abs(F.sum(F.col("size") * _copies(seed)) - F.first("target")).alias("_off"))
+    best = sums.groupBy("_source").agg(F.min(F.struct("_off", "_turn"))["_turn"].alias("_turn")).withColumnRenamed("_source", "_again")
+    chosen = cut(targets.join(best, F.col("_source").eqNullSafe(F.col("_again"))).drop("_again"))
+    return _beside(rows, chosen).withColumn("_copies", _copies(seed))
 
 
 def _size() -> Column:
@@ -73,9 +94,10 @@ def plan_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int =
     """(doc_id, size, source_size, target, copies, taken), one row per input row.
 
     copies = floor(rate) and one more where the document's draw is under the fraction
-    of rate = target / source_size. A null or empty text has size 0; a null source is
-    a source of its own; repeated rows get the same draw; an empty table gives none.
-    Other columns are not read.
+    of rate = target / source_size; the draws of a source are turned so that its words come
+    as near to its target as any of TURNS turns does. A null or empty text has size 0; a
+    null source is a source of its own; repeated rows get the same draw; an empty table
+    gives none. Other columns are not read.
     """
     sized = cut(docs.select("doc_id", "source", _size().alias("size")))
     j = _rated(sized.select(F.struct("doc_id", "source").alias("_d"), F.col("size").alias("_size")), sized, weights, most, seed)
@@ -87,11 +109,16 @@ def plan_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int =
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, seed: str = "mix") -> DataFrame:
     """The documents of the mix: every row as often as its copies say, numbered from 1 in a
-    last column copy (_copy if there is one of that name). Sizes are summed in one pass and
-    the rows go out in another; texts are not shuffled."""
-    sized = docs.select("source", _size().alias("size"))
+    last column copy (with as many _ before it as make the name new). Sizes are summed in one
+    pass and the rows go out in another; texts are not shuffled. Null and empty texts weigh
+    nothing and are copied like others; repeated rows get the same copies; ties between turns
+    go to the first; an empty table gives none."""
+    sized = cut(docs.select("doc_id", "source", _size().alias("size")))
+    name = "copy"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name = "_" + name
     j = _rated(docs.select(F.struct("*").alias("_d")), sized, weights, most, seed).where("_copies > 0")
-    return j.select("_d.*", F.explode(F.expr("sequence(1L, _copies)")).alias("_copy" if "copy" in docs.columns else "copy"))
+    return j.select("_d.*", F.explode(F.expr("sequence(1L, _copies)")).alias(name))
 
 
 SQL = r"""
@@ -104,11 +131,16 @@ l AS (SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS
   row_number() OVER (ORDER BY cap / w, source NULLS LAST) AS k FROM c),
 v AS (SELECT level FROM l WHERE level <= cap / w ORDER BY k LIMIT 1),
 t AS (SELECT source, source_size, least(cap, (SELECT level FROM v) * w) AS target FROM l),
-r AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-  ('0x' || md5('mix:' || coalesce(doc_id::VARCHAR, 'null'))[1:13])::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS u
-  FROM s JOIN t ON s.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target, (floor(rate)::BIGINT + (u < rate - floor(rate))::BIGINT) AS copies,
-  size * (floor(rate)::BIGINT + (u < rate - floor(rate))::BIGINT) AS taken FROM r
+r AS (SELECT doc_id, s.source, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+  ('0x' || md5('mix:' || coalesce(doc_id::VARCHAR, 'null'))[1:13])::BIGINT AS u
+  FROM s JOIN t ON s.source IS NOT DISTINCT FROM t.source),
+k AS (SELECT source, turn, abs(sum(size * (floor(rate)::BIGINT + ((((u + turn * 70368744177664) % 4503599627370496)::DOUBLE / 4503599627370496.0::DOUBLE) < rate - floor(rate))::BIGINT)) - any_value(target)) AS off
+  FROM r, range(64) AS x(turn) GROUP BY source, turn),
+b AS (SELECT source, min(off) AS off FROM k GROUP BY source),
+c2 AS (SELECT k.source, min(turn) AS turn FROM k JOIN b ON k.source IS NOT DISTINCT FROM b.source AND k.off = b.off GROUP BY k.source),
+n AS (SELECT r.*, floor(rate)::BIGINT + ((((u + turn * 70368744177664) % 4503599627370496)::DOUBLE / 4503599627370496.0::DOUBLE) < rate - floor(rate))::BIGINT AS copies
+  FROM r JOIN c2 ON r.source IS NOT DISTINCT FROM c2.source)
+SELECT doc_id, size, source_size, target, copies, size * copies AS taken FROM n
 """
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -20,7 +21,12 @@ TOXIC_SAMPLE, CLEAN_SAMPLE = 2_000, 4_000
 #: Alphabet of the character model: 0 for what ends a word, 1-26 letters, 27 any byte of other characters.
 SIZE = 28
 #: Signs that stand for letters.
-LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
+LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "#": "h"}
+#: Signs that may end a word as punctuation or stand for its last letters.
+PUNCTUATION = "!|$+"
+TRIPLE = re.compile(r"([a-z])\1\1")
+#: Letters of a spaced run that are read at once.
+SPACED = 16
 #: Signs put between the letters of one word.
 GAPS = " ._-*"
 #: Log probability that a letter is written as a sign, is repeated, or is followed by a gap.
@@ -71,7 +77,8 @@ def log_model(counts: np.ndarray) -> list[float]:
 
 
 def restore(token: str, model: list[float]) -> str:
-    """The likeliest word behind a token of letters, signs and gaps, by Viterbi search.
+    """The likeliest word behind a token of letters, signs and gaps, by Viterbi search. Runs are
+    folded by the lattice itself, so the work grows with a token's length, not its square.
 
     The lattice: at each place a run of one sign or letter is read as one or two copies
     of each letter it may stand for, and a gap as nothing. A state is a place and the
@@ -113,13 +120,14 @@ def restore(token: str, model: list[float]) -> str:
 
 
 def disguised(raw: bytes) -> list[str]:
-    """Tokens of a text that may hide a word: a sign directly before a letter in one
-    run, three of a letter in a row, or three or more single letters with one gap between."""
+    """Tokens of a text that may hide a word: a letter and a sign side by side in one run, three
+    of a letter in a row, or three or more single letters with one gap between. Tokens of any
+    length are taken; signs at an end are tried as letters and as punctuation."""
     low = raw.translate(LOWER)
     text = np.frombuffer(b"\n\n" + low + b"\n\n\n\n", np.uint8)
     kind = CLASS[text]
     letter, word = kind == 1, (kind & 3) > 0
-    hits = (kind[:-1] == 2) & letter[1:]
+    hits = ((kind[:-1] == 2) & letter[1:]) | (letter[:-1] & (kind[1:] == 2))
     hits[:-1] |= letter[:-2] & (text[:-2] == text[1:-1]) & (text[1:-1] == text[2:])
     out, done = [], 0
     for i in np.flatnonzero(hits).tolist():
@@ -131,8 +139,13 @@ def disguised(raw: bytes) -> list[str]:
         while word[b]:
             b += 1
         done = b
-        if b - a <= 60:
-            out.append(bytes(text[a:b]).decode("ascii").rstrip("!|$+"))
+        token = bytes(text[a:b]).decode("ascii")
+        bare = token.rstrip(PUNCTUATION)
+        if not bare.isalpha() or TRIPLE.search(bare):
+            out.append(bare)
+        # A word that ends in nothing but exclamation marks is no disguise by them.
+        if set(token[len(bare) :]) - {"!"}:
+            out.append(token)
     # A sign at the end of a word is punctuation, so that a letter before it may stand alone.
     solid = (letter | (kind == 8)) | (word & np.append(word[1:], False))
     alone = word[1:-1] & ~solid[:-2] & ~solid[2:]
@@ -147,9 +160,10 @@ def disguised(raw: bytes) -> list[str]:
         while b < len(text) - 2 and pair[b] and text[b + 1] == text[i + 1]:
             b += 2
         done = b
-        if b - i <= 80:
-            found = bytes(text[i : b + 1]).decode("ascii")
-            out += [found, found[2:]]  # the first may be a word by itself
+        found = bytes(text[i : b + 1]).decode("ascii")
+        # The first may be a word by itself; a long run is read from each of its letters on,
+        # by as many as a word has, so that a word in its midst is met.
+        out += [found, found[2:]] if len(found) <= 2 * SPACED else [found[j : j + 2 * SPACED - 1] for j in range(0, len(found) - 4, 2)]
     return [t for t in out if t]
 
 
@@ -313,9 +327,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, fold: int = 5, held: int
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, bar: float = 0.5) -> DataFrame:
-    """docs whose score is under the bar, with their own columns. Null texts stay."""
-    scored = with_toxicity(docs, train_toxicity(docs, labels), "_toxicity")
-    return scored.where(F.col("_toxicity") < bar).drop("_toxicity")
+    """docs whose score is under the bar, with their own columns, whatever their names. Null and
+    empty texts score like a text in which nothing is found, and stay unless that is toxic;
+    repeated rows score alike; an empty table gives none."""
+    name = "_toxicity"
+    while name in docs.columns:
+        name = "_" + name
+    scored = with_toxicity(docs, train_toxicity(docs, labels), name)
+    return scored.where(F.col(name) < bar).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op10_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -479,6 +479,18 @@ def test_targets_are_shared_again(spark):
     assert t["a"] == 30 and t[None] == 150 and sum(t.values()) == pytest.approx(2060) and t["b"] == pytest.approx(2 * t["c"])
 
 
+def test_every_source_comes_near_its_target(spark):
+    d = "/root/testdata/sf0.01"
+    plan = mixing.plan_mix(spark.read.parquet(f"{d}/documents.parquet")).toPandas().merge(duck("SELECT doc_id, source FROM documents", d), on="doc_id")
+    per = plan.groupby("source").agg(taken=("taken", "sum"), target=("target", "first"))
+    assert len(per) == 20 and (abs(per.taken - per.target) <= 0.05 * per.target).all()
+    assert (plan.copies <= 3).all() and (plan.copies >= np.floor(plan.target / plan.source_size)).all() and (plan.copies <= np.floor(plan.target / plan.source_size) + 1).all()
+
+
+def test_copy_takes_a_new_name(spark, odd):
+    assert mixing.mix(odd.withColumn("_copy", F.lit(1))).columns[-1] == "__copy" and mixing.mix(odd).columns[-1] == "_copy"
+
+
 def test_mix_joins_many_sources(spark, monkeypatch, odd):
     one = mixing.plan_mix(odd).toPandas()
     monkeypatch.setattr(mixing, "BROADCAST_ROWS", 0)
@@ -493,7 +505,12 @@ def test_words_are_restored(spark):
     docs = make(spark, [(i, " ".join(words[i % 7 :]), "s") for i in range(200)])
     model = toxicity.log_model(toxicity.trigram_counts(docs))
     assert [toxicity.restore(t, model) for t in ("1d10t", "l0ser", "mooooron", "i d i o t", "p@thet1c", "m-o-r-o-n")] == ["idiot", "loser", "moron", "idiot", "pathetic", "moron"]
-    assert toxicity.disguised(b"the 1d10t, s-t-u-p-i-d! stuuuupid THE!! thnd*** of$$$ a b 12") == ["1d10t", "stuuuupid", "s-t-u-p-i-d", "t-u-p-i-d"]
+    assert toxicity.disguised(b"the 1d10t, s-t-u-p-i-d! stuuuupid THE!! thnd*** of$$$ a b 12") == ["1d10t", "stuuuupid", "of$$$", "s-t-u-p-i-d", "t-u-p-i-d"]
+    assert toxicity.disguised(b"a$$ as5 bitc# no! well idiot!!") == ["a$$", "as5", "bitc#"]
+    r = toxicity.Restorer(model)
+    assert b"idiot" in r.words(b"an idio7 there") and b"moron" in r.words(b"m" + b"o" * 200 + b"ron")
+    spaced = " ".join("thatidiotstandsherewithotherwordsforthemodeltolearnfromandmore").encode()
+    assert any(w.startswith(b"idiot") for w in r.words(spaced))
 
 
 def test_toxicity_on_held_out(spark, odd, empty):
