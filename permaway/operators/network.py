@@ -114,42 +114,68 @@ def fnv1a64(items: list[tuple[int, int]]) -> int:
 TRACK = "chain bigint, track_key bigint, start_node bigint, end_node bigint, length double, edge_ids array<bigint>"
 
 
-def _ordered_chain(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One chain of segments through nodes of two edges, in the order from its canonical end."""
-    pdf = pdf.sort_values("edge_id")
-    out: dict[int, list] = {}
-    for r in pdf.itertuples():
-        out.setdefault(r.from_node, []).append(r)
-    at = {r.from_node: (round(r.fy * 1000), round(r.fx * 1000), r.from_node) for r in pdf.itertuples()}
-    ends = sorted((n for n in out if pdf.loc[pdf["from_node"] == n, "from_degree"].iloc[0] != 2), key=at.__getitem__)
-    start = ends[0] if ends else pdf["from_node"].iloc[0]
-    done, edges, node = set(), [], start
-    while True:
-        step = next((r for r in out.get(node, ()) if r.pair not in done), None)
-        if step is None or (edges and node in ends):
-            break
-        done.add(step.pair)
-        edges.append(step)
-        node = step.to_node
-    key = fnv1a64([(r.way_id, r.i) for r in edges])
-    return pd.DataFrame([[int(pdf["chain"].iloc[0]), key, int(start), int(node), float(sum(r.length for r in edges)), [int(r.edge_id) for r in edges]]], columns=[x.split()[0] for x in TRACK.split(", ")])
+#: Rows of the network that one group holds on average; groups are whole chains or parts, by hash.
+GROUP_ROWS = 20_000
+
+
+def _runs(keys: list):
+    """(start, stop) of the runs of equal keys."""
+    a = 0
+    for b in range(1, len(keys) + 1):
+        if b == len(keys) or keys[b] != keys[a]:
+            yield a, b
+            a = b
+
+
+def _ordered_chains(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Chains of segments through nodes of two edges, each in the order from its canonical end."""
+    pdf = pdf.sort_values(["chain", "edge_id"])
+    chain, edge, pair, source, target, length, way, i, fx, fy, degree = (pdf[c].tolist() for c in ("chain", "edge_id", "pair", "from_node", "to_node", "length", "way_id", "i", "fx", "fy", "from_degree"))
+    found = []
+    for a, b in _runs(chain):
+        out: dict[int, list[int]] = {}
+        for r in range(a, b):
+            out.setdefault(source[r], []).append(r)
+        ends = [((round(fy[rows[0]] * 1000), round(fx[rows[0]] * 1000), n), n) for n, rows in out.items() if degree[rows[0]] != 2]
+        start = min(ends)[1] if ends else source[a]
+        stops = {n for _, n in ends}
+        done, rows, node = set(), [], start
+        while True:
+            step = next((r for r in out.get(node, ()) if pair[r] not in done), None)
+            if step is None or (rows and node in stops):
+                break
+            done.add(pair[step])
+            rows.append(step)
+            node = target[step]
+        key = fnv1a64([(way[r], i[r]) for r in rows])
+        found.append([chain[a], key, start, node, float(sum(length[r] for r in rows)), [edge[r] for r in rows]])
+    return pd.DataFrame(found, columns=[x.split()[0] for x in TRACK.split(", ")])
+
+
+def by_bucket(rows: DataFrame, key: str, run, schema: str) -> DataFrame:
+    """run over groups of whole keys, dealt out by a hash of the key so that many small ones share a
+    call; rows is a cut table, whose count sets the number of groups."""
+    buckets = max(1, rows.count() // GROUP_ROWS)
+    return cut(rows.groupBy(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket")).applyInPandas(lambda pdf: run(pdf), schema))
 
 
 def build_tracks(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(tracks, edge_track): maximal chains of segments through nodes of exactly two edges.
 
     Chains are components of segments that share such a node; only the order within a chain
-    is worked out in Python, a chain to a group. A chain runs from the end that is first by
-    (y, x, id) in millimetres; a ring starts at its lowest edge."""
-    degree = edges.groupBy(F.col("from_node").alias("node_id")).agg(F.count("*").alias("degree"))
+    is worked out in Python, many chains to a call, and written down before chains are
+    numbered. A chain runs from the end that is first by (y, x, id) in millimetres; a ring
+    starts at its lowest edge."""
+    edges = cut(edges)
+    degree = cut(edges.groupBy(F.col("from_node").alias("node_id")).agg(F.count("*").alias("degree")))
     through = edges.join(degree.where("degree = 2").select(F.col("node_id").alias("from_node")), "from_node")
     share = through.groupBy("from_node").agg(F.min("pair").alias("a"), F.max("pair").alias("b"))
     comp = connected_components(share, "a", "b").select(F.col("node").alias("pair"), F.col("component").alias("chain"))
     chained = edges.join(comp, "pair", "left").withColumn("chain", F.coalesce("chain", "pair"))
     place = nodes.join(degree, "node_id").select(F.col("node_id").alias("from_node"), F.col("x").cast("double").alias("fx"), F.col("y").cast("double").alias("fy"), F.col("degree").alias("from_degree"))
-    rows = chained.join(place, "from_node").select("chain", "pair", "edge_id", "from_node", "to_node", "length", "way_id", "i", "fx", "fy", "from_degree")
-    tracks = cut(numbered(rows.groupBy("chain").applyInPandas(_ordered_chain, TRACK), ["chain"], "track_index"))
-    return tracks, chained.join(tracks.select("chain", "track_index"), "chain").select("edge_id", "track_index")
+    rows = cut(chained.join(place, "from_node").select("chain", "pair", "edge_id", "from_node", "to_node", "length", "way_id", "i", "fx", "fy", "from_degree"))
+    tracks = cut(numbered(by_bucket(rows, "chain", _ordered_chains, TRACK), ["chain"], "track_index"))
+    return tracks, rows.join(tracks.select("chain", "track_index"), "chain").select("edge_id", "track_index")
 
 
 def with_arc(tracks: DataFrame, edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -163,12 +189,17 @@ def with_arc(tracks: DataFrame, edges: DataFrame, nodes: DataFrame) -> DataFrame
 
 def projections(points: DataFrame, segments: DataFrame, radius: float, side: float = 64.0) -> DataFrame:
     """For points(pid, x, y) and track segments: (pid, track_index, distance, arc, side) of the
-    nearest place of each track within the radius. Segments are put in every cell their boxes,
-    widened by the radius, touch, so that long ones are met anywhere along them."""
-    lo = lambda a, b: F.floor((F.least(a, b).cast("double") - radius) / side).cast("bigint")
-    hi = lambda a, b: F.floor((F.greatest(a, b).cast("double") + radius) / side).cast("bigint")
-    s = segments.withColumn("cell_x", F.explode(F.sequence(lo(F.col("ax"), F.col("bx")), hi(F.col("ax"), F.col("bx")))))
-    s = s.withColumn("cell_y", F.explode(F.sequence(lo(F.col("ay"), F.col("by")), hi(F.col("ay"), F.col("by")))))
+    nearest place of each track within the radius. Segments are cut into pieces of a cell's side
+    or twice the radius and put in every cell that the pieces' boxes, widened by the radius, touch, so that long
+    ones are met anywhere along them in as many cells as they have length."""
+    ends = {c: f"cast({c} as double)" for c in ("ax", "ay", "bx", "by")}
+    pieces = f"greatest(1, cast(ceil(greatest(abs({ends['bx']} - {ends['ax']}), abs({ends['by']} - {ends['ay']})) / {max(side, 2 * radius)}) as int))"
+    place = lambda c, k: f"({ends['a' + c]} + ({ends['b' + c]} - {ends['a' + c]}) * ({k}) / n)"
+    lo = lambda c: f"cast(floor((least({place(c, 'p')}, {place(c, 'p + 1')}) - {radius}D) / {side}D) as bigint)"
+    hi = lambda c: f"cast(floor((greatest({place(c, 'p')}, {place(c, 'p + 1')}) + {radius}D) / {side}D) as bigint)"
+    # A cell is one number, of which an array has the distinct ones by hashing.
+    boxes = f"transform(array({pieces}), n -> flatten(transform(sequence(0, n - 1), p -> flatten(transform(sequence({lo('x')}, {hi('x')}), u -> transform(sequence({lo('y')}, {hi('y')}), v -> shiftleft(u, 32) + v + 2147483648L))))))"
+    s = segments.select("*", F.explode(F.expr(f"array_distinct(flatten({boxes}))")).alias("_cell")).withColumn("cell_x", F.expr("shiftright(_cell, 32)")).withColumn("cell_y", F.expr("(_cell & 4294967295L) - 2147483648L")).drop("_cell")
     j = cells(points, "x", "y", side).join(s, ["cell_x", "cell_y"])
     dx, dy = F.col("bx").cast("double") - F.col("ax"), F.col("by").cast("double") - F.col("ay")
     l2 = dx * dx + dy * dy
@@ -287,59 +318,56 @@ SECTION = "seed_edge bigint, start_node bigint, end_node bigint, length double,
 
 
 def _sections(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Greedy chains in the order of edge ids, both ways from a seed, up to a boundary node, an
-    edge of another track or one that is taken."""
-    pdf = pdf.sort_values("edge_id")
-    rows = {r.edge_id: r for r in pdf.itertuples()}
-    out: dict[int, list] = {}
-    for r in pdf.itertuples():
-        out.setdefault(r.from_node, []).append(r)
-    stops = set(pdf.loc[pdf["from_stop"], "from_node"]) | set(pdf.loc[pdf["to_stop"], "to_node"])
-    taken: set[int] = set()
+    """Greedy chains in the order of edge ids, part by part, both ways from a seed, up to a boundary
+    node, an edge of another track or one that is taken."""
+    pdf = pdf.sort_values(["part", "edge_id"])
+    part, edge, source, target, length, speed, track, from_stop, to_stop = (pdf[c].tolist() for c in ("part", "edge_id", "from_node", "to_node", "length", "max_speed", "track_ref", "from_stop", "to_stop"))
     found = []
-    for seed in rows.values():
-        if seed.edge_id in taken:
-            continue
-        here = {seed.edge_id}
-
-        def walk(node, prev, seed=seed, here=here):
+    for a, b in _runs(part):
+        out: dict[int, list[int]] = {}
+        for r in range(a, b):
+            out.setdefault(source[r], []).append(r)
+        stops = {source[r] for r in range(a, b) if from_stop[r]} | {target[r] for r in range(a, b) if to_stop[r]}
+        taken: set[int] = set()
+
+        def walk(node, prev, seed, here, out=out, stops=stops, taken=taken):
             chain = []
             while node not in stops:
-                nxt = next(
-                    (r for r in out.get(node, ()) if r.edge_id not in taken and r.edge_id not in here and r.to_node != prev
-                     and not (seed.track_ref and r.track_ref and r.track_ref != seed.track_ref)), None,
-                )
+                nxt = next((r for r in out.get(node, ()) if r not in taken and r not in here and target[r] != prev and not (track[seed] and track[r] and track[r] != track[seed])), None)
                 if nxt is None:
                     break
-                chain.append(nxt.edge_id)
-                here.add(nxt.edge_id)
-                prev, node = node, nxt.to_node
+                chain.append(nxt)
+                here.add(nxt)
+                prev, node = node, target[nxt]
             return chain, node
 
-        ahead, end = walk(seed.to_node, seed.from_node)
-        behind, start = walk(seed.from_node, seed.to_node)
-        chain = [*behind[::-1], seed.edge_id, *ahead]
-        taken |= set(chain)
-        speeds = [rows[e].max_speed for e in chain if rows[e].max_speed > 0]
-        kind = lambda n: "station" if n in stops else "junction"
-        found.append([int(seed.edge_id), int(start), int(end), float(sum(rows[e].length for e in chain)), int(min(speeds, default=80)), len(chain), kind(start), kind(end), [int(e) for e in chain]])
+        for seed in range(a, b):
+            if seed in taken:
+                continue
+            here = {seed}
+            ahead, end = walk(target[seed], source[seed], seed, here)
+            behind, start = walk(source[seed], target[seed], seed, here)
+            chain = [*behind[::-1], seed, *ahead]
+            taken |= set(chain)
+            speeds = [speed[r] for r in chain if speed[r] > 0]
+            kind = lambda n, stops=stops: "station" if n in stops else "junction"
+            found.append([edge[seed], start, end, float(sum(length[r] for r in chain)), int(min(speeds, default=80)), len(chain), kind(start), kind(end), [edge[r] for r in chain]])
     return pd.DataFrame(found, columns=[x.split()[0] for x in SECTION.split(", ")])
 
 
 def block_sections(edges: DataFrame, stops: DataFrame) -> DataFrame:
     """Block sections of all edges between the nodes of stops(node_id), numbered by seed edge.
 
-    Walks never pass a stop, so the network falls apart there; each part is one group.
-    A walk ends where it would take an edge again."""
+    Walks never pass a stop, so the network falls apart there; a part is in one group, and many
+    small parts share one. A walk ends where it would take an edge again."""
     e = edges.join(stops.select(F.col("node_id").alias("from_node"), F.lit(True).alias("from_stop")).distinct(), "from_node", "left")
     e = e.join(stops.select(F.col("node_id").alias("to_node"), F.lit(True).alias("to_stop")).distinct(), "to_node", "left").na.fill(False, ["from_stop", "to_stop"])
     e = cut(e.select("edge_id", "pair", "from_node", "to_node", "length", "max_speed", "track_ref", "from_stop", "to_stop"))
     low = e.where("not from_stop").groupBy("from_node").agg(F.min("pair").alias("low"))
     ties = e.where("not from_stop").join(low, "from_node").select("pair", "low").distinct()
     comp = connected_components(ties, "pair", "low").select(F.col("node").alias("pair"), F.col("component").alias("part"))
-    parts = e.join(comp, "pair", "left").withColumn("part", F.coalesce("part", "pair"))
-    s = cut(parts.groupBy("part").applyInPandas(lambda pdf: _sections(pdf), SECTION))
-    return numbered(s, ["seed_edge"], "section_id")
+    parts = cut(e.join(comp, "pair", "left").withColumn("part", F.coalesce("part", "pair")))
+    return numbered(by_bucket(parts, "part", _sections, SECTION), ["seed_edge"], "section_id")
 
 
 def snap(points: DataFrame, key: str, nodes: DataFrame, radius: float) -> DataFrame:

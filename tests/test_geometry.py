@@ -118,6 +118,16 @@ def test_tracks_part_the_segments(spark):
     assert lengths[0] == pytest.approx(lengths[1])
 
 
+def test_chains_start_at_their_canonical_end():
+    names = ["chain", "edge_id", "pair", "from_node", "to_node", "length", "way_id", "i", "fx", "fy", "from_degree"]
+    at, degree = {1: (0.0, 5.0), 2: (1.0, 3.0), 3: (2.0, 1.0), 7: (0.0, 0.0), 8: (1.0, 0.0), 9: (1.0, 1.0)}, {1: 1, 2: 2, 3: 3, 7: 2, 8: 2, 9: 2}
+    legs = [(5, 0, 1, 2), (5, 1, 2, 3), (6, 2, 8, 9), (6, 3, 9, 7), (6, 4, 7, 8)]
+    rows = [(c, 2 * p + k, p, u, v, 1.0, 100, p, *at[u], degree[u]) for c, p, x, y in legs for k, (u, v) in enumerate([(x, y), (y, x)])]
+    got = N._ordered_chains(pd.DataFrame(rows[::-1], columns=names))
+    assert got[["chain", "start_node", "end_node", "length"]].values.tolist() == [[5, 3, 1, 2.0], [6, 8, 8, 3.0]]
+    assert got["edge_ids"].tolist() == [[3, 1], [4, 6, 8]] and got["track_key"][0] == N.fnv1a64([(100, 1), (100, 0)])
+
+
 def test_fnv():
     assert N.fnv1a64([]) == 14695981039346656037 - (1 << 64)
     assert N.fnv1a64([(2, 1), (1, 0), (2, 1)]) == N.fnv1a64([(1, 0), (2, 1)])
@@ -132,7 +142,7 @@ def test_extent_stays_on_known_lines():
 
 def test_sections_stop_at_stations_and_on_rings():
     ring = [(0, 0, 1), (1, 1, 0), (2, 1, 2), (3, 2, 1), (4, 2, 0), (5, 0, 2)]
-    e = pd.DataFrame([(k, k // 2, u, v, 10.0, 0, "", False, False) for k, u, v in ring], columns=["edge_id", "pair", "from_node", "to_node", "length", "max_speed", "track_ref", "from_stop", "to_stop"])
+    e = pd.DataFrame([(0, k, k // 2, u, v, 10.0, 0, "", False, False) for k, u, v in ring], columns=["part", "edge_id", "pair", "from_node", "to_node", "length", "max_speed", "track_ref", "from_stop", "to_stop"])
     s = N._sections(e)
     assert sorted(x for ids in s["edge_ids"] for x in ids) == [0, 1, 2, 3, 4, 5] and set(s["max_speed"]) == {80}
     e.loc[e["from_node"] == 0, "from_stop"] = True
