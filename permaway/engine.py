@@ -19,9 +19,14 @@ from permaway.operators.scratch import cut
 from permaway.sources import container as C
 from permaway.sources import pbf, state
 
+#: Layers of water and of borders.
+WATER, BORDERS = 3, 10
+
 
 def features_of(elements: DataFrame) -> DataFrame:
-    """(way_id, layer, tags, nodes, points, box, area) of all elements: ways, points and shapes of relations."""
+    """(way_id, layer, tags, nodes, points, indices, hole_starts, box, area) of all elements: ways,
+    points and shapes of relations. The points of a shape's holes follow those of its outline,
+    from hole_starts on, and its area is less by theirs; indices are its triangles."""
     xy = cut(O.projected(pbf.nodes(elements)).select("node_id", "x", "y", "tags"))
     ways = pbf.ways(elements)
     order = ways.select("way_id", F.posexplode("nodes").alias("pos", "node_id"))
@@ -35,11 +40,27 @@ def features_of(elements: DataFrame) -> DataFrame:
     by_node = points.select(F.col("node_id").alias("way_id"), "layer", kept.alias("tags"), none.alias("nodes"), F.array(F.struct("x", "y")).alias("points"))
     r = pbf.relations(elements).withColumn("layer", T.polygon_layer(F.col("tags"))).where(T.is_multipolygon(F.col("tags")) & F.col("layer").isNotNull())
     m = r.select("rel_id", F.posexplode("members").alias("pos", "m")).where("m.type = 'way'").select("rel_id", "pos", "m.role", F.col("m.ref").alias("way_id"))
-    shapes = M.multipolygons(m.join(lines.select("way_id", "points"), "way_id"))
+    m = cut(m.join(r.select("rel_id", "layer"), "rel_id").join(lines.select("way_id", "points"), "way_id"))
+    # Wide gaps are closed in water, and borders are drawn by 250 m.
+    shapes = M.multipolygons(m.where(~F.col("layer").isin(WATER, BORDERS)))
+    shapes = shapes.unionByName(M.multipolygons(m.where(F.col("layer") == WATER), gap=M.WATER_GAP)).unionByName(M.multipolygons(m.where(F.col("layer") == BORDERS), tolerance=250.0))
     xyf = F.transform("points", lambda p: F.struct(p["x"].cast("float").alias("x"), p["y"].cast("float").alias("y")))
-    by_relation = shapes.withColumn("points", xyf).join(r.select("rel_id", "layer", kept.alias("tags")), "rel_id").select(F.col("rel_id").alias("way_id"), "layer", "tags", none.alias("nodes"), "points")
-    f = by_way.unionByName(by_node).unionByName(by_relation)
-    return f.withColumn("box", G.box(F.col("points"))).withColumn("area", G.signed_area(F.col("points")))
+    by_relation = shapes.withColumn("points", xyf).join(r.select("rel_id", "layer", kept.alias("tags")), "rel_id").select(F.col("rel_id").alias("way_id"), "layer", "tags", none.alias("nodes"), "points", "indices", "hole_starts")
+    f = by_way.unionByName(by_node).unionByName(by_relation, allowMissingColumns=True)
+    for c in ("indices", "hole_starts"):
+        f = f.withColumn(c, F.coalesce(c, F.expr("cast(array() as array<int>)")))
+    # The stops of the outline and of each hole.
+    f = f.withColumn("_stops", F.concat("hole_starts", F.array(F.size("points"))))
+    holes = F.aggregate(F.sequence(F.lit(1), F.size("_stops")), F.lit(0.0), lambda a, k: a + F.when(k < F.size("_stops"), F.abs(G.signed_area(_part(k - 1)))).otherwise(0.0))
+    outline = G.signed_area(F.slice("points", F.lit(1), F.get("_stops", F.lit(0))))
+    area = F.when(F.size("hole_starts") > 0, F.signum(outline) * (F.abs(outline) - holes)).otherwise(outline)
+    return f.withColumn("area", area).withColumn("box", G.box(F.col("points"))).drop("_stops")
+
+
+def _part(k):
+    """The points of hole k."""
+    start = F.get("_stops", k)
+    return F.slice("points", start + 1, F.get("_stops", k + 1) - start)
 
 
 def convert(spark: SparkSession, source: str, out: str, country: str = "PL", with_state: bool = True, key: bytes | None = None) -> None:
@@ -77,13 +98,17 @@ def build_network(spark: SparkSession, store: str, country: str = "PL", refs: Da
     at = lambda df: df.select("*", F.get("points", F.lit(0))["x"].alias("x"), F.get("points", F.lit(0))["y"].alias("y"))
     name = lambda k: T.tag(t, k)
     stops = at(f.where((F.col("layer") == 8) & T.is_mainline_station(t))).select(F.col("way_id").alias("osm_id"), "x", "y", name("railway").alias("kind"), name("name").alias("name"))
-    stops = cut(O.numbered(stops, ["osm_id", "x", "y"], "station_id").dropDuplicates(["name", "osm_id"]))
+    metre = [F.round("x"), F.round("y")]
+    stops = cut(O.numbered(X.first_by(stops, [F.col("name"), *metre], ["osm_id"]), ["osm_id", "x", "y"], "station_id"))
     stations = N.snap(stops, "station_id", nodes, 200.0)
     places = at(f.where((F.col("layer") == 11) & name("name").isNotNull())).select("way_id", "x", "y", name("name").alias("name"), T.place_type(t).alias("place"), F.coalesce(name("population").try_cast("int"), F.lit(0)).alias("population"))
     signals = at(f.where("layer = 8").withColumn("function", T.signal_function(t)).where("function <> 'unknown'")).select("way_id", "x", "y", "function", T.signal_direction(t).alias("direction"), name("ref").alias("ref"))
+    places = X.first_by(places, [F.col("name"), F.col("place")], ["way_id"])
+    signals = X.first_by(signals, [F.round("x", 2), F.round("y", 2)], ["way_id"])
     signals = N.snap(signals, "way_id", nodes, 10.0).where("node_id is not null")
     rings = f.where((F.col("layer") == 6) & (F.size("points") >= 3)).withColumn("c", G.centroid(F.col("points")))
-    platforms = N.snap(rings.select(F.col("way_id").alias("platform_id"), F.col("c.x").alias("x"), F.col("c.y").alias("y"), "points"), "platform_id", nodes, 500.0).where("node_id is not null")
+    rings = X.first_by(rings.select(F.col("way_id").alias("platform_id"), F.col("c.x").alias("x"), F.col("c.y").alias("y"), "points"), metre, ["platform_id"])
+    platforms = N.snap(rings, "platform_id", nodes, 500.0).where("node_id is not null")
     entries = N.platform_entries(platforms.select("platform_id", "points"), cut(N.with_arc(tracks, edges, nodes)))
     gap = X.nearest_other(stations.select("station_id", "x", "y"), "station_id", 2000.0).select("station_id", (F.col("distance") / 2).alias("half_gap"))
     lines_at = N.platform_lines(platforms, entries, stations, edges, stamps)

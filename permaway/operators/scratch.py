@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,10 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir.
 
-    Only where the cluster names none (tests, a laptop) is a temporary folder set.
+    Only a session on one machine (tests, a laptop) that names none gets a temporary folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="permaway-")
         spark.sparkContext.setCheckpointDir(named)
         named = spark.sparkContext.getCheckpointDir()

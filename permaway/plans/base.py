@@ -10,6 +10,7 @@ from permaway.functions import tags as T
 from permaway.operators import features as O
 from permaway.operators import network as N
 from permaway.operators.scratch import cut
+from permaway.operators.spatial import first_by  # noqa: F401
 from permaway.sources import osm_tables as S
 
 
@@ -47,11 +48,3 @@ def stations(spark: SparkSession, d: str, nodes: DataFrame) -> DataFrame:
     p = first_by(p, [F.col("t_name"), F.round("x"), F.round("y")], ["osm_id"])
     p = cut(O.numbered(p, ["osm_id", "x", "y"], "station_id"))
     return N.snap(p, "station_id", nodes, 200.0)
-
-
-def first_by(rows: DataFrame, keys: list, order: list[str]) -> DataFrame:
-    """One row for each key, the first by an order that has no ties; combined before the shuffle."""
-    cols = [c for c in rows.columns if c not in order]
-    k = [c.alias(f"_k{i}") for i, c in enumerate(keys)]
-    g = rows.groupBy(*k).agg(F.min(F.struct(*order, *cols)).alias("_r"))
-    return g.select("_r.*").select(*rows.columns)

@@ -38,3 +38,13 @@ def test_from_file_to_network(spark, tmp_path, capsys):
     assert run("fresh", store) == 0 and run("fresh", store, "--country", "DE") == 1
     spark.read.parquet(f"{store}/blocks").limit(1).write.mode("overwrite").parquet(f"{store}/signed-less")
     assert not state.verify_map(spark.read.parquet(f"{store}/signed-less"), (tmp_path / "k.pub").read_bytes(), bytes(spark.read.parquet(f"{store}/signature").first().signature))
+
+
+def test_holes_count_against_area(spark, tmp_path):
+    nodes = [{"kind": "node", "id": 10 * k + i, "lat": 52.0 + dy, "lon": 19.0 + dx, "tags": {}} for k, side in ((0, 0.01), (1, 0.002)) for i, (dx, dy) in enumerate([(a + 0.001 * k, b + 0.001 * k) for a, b in ((0, 0), (side, 0), (side, side), (0, side))])]
+    ways = [{"kind": "way", "id": k, "nodes": [10 * k, 10 * k + 1, 10 * k + 2, 10 * k + 3, 10 * k], "tags": {}} for k in (0, 1)]
+    lake = lambda i, members: {"kind": "relation", "id": i, "tags": {"type": "multipolygon", "natural": "water"}, "members": [{"type": "way", "ref": w, "role": r} for w, r in members]}
+    (tmp_path / "x.osm.pbf").write_bytes(pbf.frame(pbf.encode_blob([*nodes, *ways, lake(50, [(0, "outer")]), lake(51, [(0, "outer"), (1, "inner")])])))
+    got = {r.way_id: r for r in engine.features_of(pbf.read_pbf(spark, str(tmp_path / "x.osm.pbf"))).where("layer = 3").collect()}
+    whole, ring = abs(got[50].area), abs(got[51].area)
+    assert abs(ring / whole - 0.96) < 0.002 and len(got[51].hole_starts) == 1 and len(got[51].indices) > len(got[50].indices)
