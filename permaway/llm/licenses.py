@@ -81,7 +81,9 @@ def best_lines(docs: DataFrame, key: str = "doc_id", templates: Templates | None
     """(key, license, score) of the best line of each text that reaches the threshold; of equal
     scores the last name. Whole texts are read; only lines with an anchor are scored, first
     with a bound from above (terms outside the templates counted once each), then exactly.
-    Everything before the last, small aggregate is narrow."""
+    Everything before the last, small aggregate is narrow. Null and empty texts have no line;
+    rows of one key have one best line between them; an empty table gives none. A statement
+    wrapped over several lines is scored line by line and may not reach the threshold."""
     t = templates or Templates(threshold=threshold)
     short = [a for a in t.anchors if len(a) < 5]
     tests = [lambda c, a=a: F.contains(c, F.lit(a)) for a in t.anchors if len(a) >= 5]

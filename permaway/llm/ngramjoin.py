@@ -252,7 +252,11 @@ def near_groups(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> D
 
 
 def keep_first(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """docs less those that are linked, through others or not, with one of a smaller doc_id."""
+    """docs less those that are linked, through others or not, with one of a smaller doc_id.
+
+    Rows of one doc_id stay or go together; of equal texts the smallest doc_id stays, and a row
+    without a doc_id goes where one with an id is linked with it. Null texts and texts without
+    words are linked with nothing and stay. All columns are kept; an empty table gives none."""
     g = near_groups(docs, k, num, den).where("not (doc_id <=> component_id)").select(F.col("doc_id").alias("_linked_id")).distinct()
     return docs.join(hint_small(cut(g)), F.col("doc_id").eqNullSafe(F.col("_linked_id")), "left_anti")
 
