@@ -2,7 +2,7 @@
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and
 read again as the next one's docs. All but the last return the columns of documents.
-In every stage null and empty texts stay (they have no words, lines or shingles), repeated
+Null and empty texts stay in all stages but the last, which copies them like others; repeated
 rows are treated alike, and an empty table gives an empty one.
 """
 
