@@ -68,10 +68,9 @@ def _agreeing(x: str, y: str) -> str:
 
 def members_of(distinct: DataFrame) -> DataFrame:
     """(band, id, s1, s2): the lines in each bucket of two or more."""
-    b = distinct.select("id", F.explode("bands").alias("band"))
+    b = distinct.select("id", "s1", "s2", F.explode("bands").alias("band"))
     met = cut(b.groupBy("band").agg(F.count("*").alias("c")).where("c > 1").select("band"))
-    at = cut(join_found(b, met, ["band"], "band"))
-    return cut(at.join(distinct.select("id", "s1", "s2"), "id").select("band", "id", "s1", "s2"))
+    return cut(join_found(b, met, ["band"], "band").select("band", "id", "s1", "s2"))
 
 
 def leader_pairs(members: DataFrame) -> DataFrame:
@@ -175,7 +174,7 @@ def gone_lines(docs: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame
     all_lines = cut(lines.drop("line"))
     distinct = distinct_lines(lines, all_lines, k)
     members = members_of(distinct)
-    groups = line_groups(lines, distinct, members_of(distinct), threshold, k)
+    groups = line_groups(lines, distinct, members, threshold, k)
     # Written down, so that the join of a component's lines with its head can be split.
     at = cut(distinct.select(F.col("id").alias("node"), "first").join(groups, "node"))
     heads = cut(at.groupBy("component").agg(F.min("first").alias("head")))
