@@ -108,10 +108,10 @@ def left_links(lines: DataFrame, distinct: DataFrame, members: DataFrame, groups
     x, y = at(mixed.where("component <> major"), "x"), at(mixed, "y", "major")
     candidate = F.expr(f"xcomponent <> ycomponent and (xid < yid or ycomponent = major) and {_agreeing('x', 'y')} >= {AGREE}")
     xs, ys = (cut(one.join(other.withColumnRenamed("band", "_band"), (F.col("band") == F.col("_band")) & candidate, "left_semi")) for one, other in ((x, y), (y, x)))
-    refs = xs.select(F.col("xid").alias("id")).union(ys.select("yid")).distinct()
+    refs = xs.select(F.col("xid").alias("id")).union(ys.select("yid"))
     # A quarter of a line's shingles by their hashes tells pairs that fall short by far.
     quarter = F.expr(f"transform(filter(array_distinct({shingles('line', k)}), h -> (h & 3) = 0), h -> int(shiftright(h, 32)))")
-    texts = cut(texts_of(lines, distinct, refs).withColumn("q", quarter).join(distinct.select("id", "bands"), "id"))
+    texts = cut(texts_of(lines, distinct, refs, "bands").withColumn("q", quarter))
     x, y = (r.join(texts.select(F.col("id").alias(n + "id"), *[F.col(c).alias(c + n) for c in ("line", "bands", "q")]), n + "id") for r, n in ((xs, "x"), (ys, "y")))
     first = F.col("band") == F.array_min(F.array_intersect("bandsx", "bandsy"))
     j = cut(x).join(cut(y).withColumnRenamed("band", "_band"), (F.col("band") == F.col("_band")) & candidate & first & F.expr(_near(threshold)) & F.expr(_similar("linex", "liney", threshold, k)))
@@ -127,11 +127,12 @@ def _near(threshold: float) -> str:
     return f"exists({sizes}, s -> s.n = 0 or s.both >= ({threshold}D - {width!r}D / sqrt(greatest({union}, 1))) * {union})"
 
 
-def texts_of(lines: DataFrame, distinct: DataFrame, refs: DataFrame) -> DataFrame:
-    """(id, line) of the lines of these ids, fetched by digest and first place."""
-    at = cut(distinct.select("id", "h1", "h2", "n", "first").join(refs, "id").select("id", "h1", "h2", "n", *[F.col(f"first.{c}").alias("_first_" + c) for c in (*KEY, "pos")]))
+def texts_of(lines: DataFrame, distinct: DataFrame, refs: DataFrame, *more: str) -> DataFrame:
+    """(id, line, more columns of distinct) of the lines of these ids, fetched by digest and first place."""
+    of = distinct.select("id", "h1", "h2", "n", *[F.col(f"first.{c}").alias("_first_" + c) for c in (*KEY, "pos")], *more)
+    at = cut(join_found(of, cut(refs.distinct()), ["id"], "xxhash64(id)"))
     here = " and ".join(f"{c} <=> _first_{c}" for c in (*KEY, "pos"))
-    return join_found(lines, at, ["h1", "h2", "n"], "h1").where(here).select("id", "line").dropDuplicates(["id"])
+    return join_found(lines, at, ["h1", "h2", "n"], "h1").where(here).select("id", "line", *more).dropDuplicates(["id"])
 
 
 def _similar(x: str, y: str, threshold: float, k: int) -> str:
@@ -143,7 +144,7 @@ def _similar(x: str, y: str, threshold: float, k: int) -> str:
 
 def similar_lines(lines: DataFrame, distinct: DataFrame, pairs: DataFrame, threshold: float, k: int) -> DataFrame:
     """The pairs whose k-character shingle sets have a Jaccard similarity of the threshold or more."""
-    texts = cut(texts_of(lines, distinct, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()))
+    texts = cut(texts_of(lines, distinct, pairs.select(F.explode(F.array("a", "b")).alias("id"))))
     left, right = (texts.select(F.col("id").alias(x), F.col("line").alias("l" + x)) for x in "ab")
     return pairs.join(left, "a").join(right, "b").where(F.expr(_similar("la", "lb", threshold, k))).select("a", "b")
 
@@ -176,10 +177,10 @@ def gone_lines(docs: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame
     members = members_of(distinct)
     groups = line_groups(lines, distinct, members, threshold, k)
     # Written down, so that the join of a component's lines with its head can be split.
-    at = cut(distinct.select(F.col("id").alias("node"), "first").join(groups, "node"))
+    at = cut(join_found(distinct.select(F.col("id").alias("node"), "first"), cut(groups), ["node"], "xxhash64(node)"))
     heads = cut(at.groupBy("component").agg(F.min("first").alias("head")))
-    moved = at.join(heads, "component").select(F.col("node").alias("id"), "head")
-    keep = distinct.select("id", "h1", "h2", "n", "first", "copies").join(moved, "id", "left").withColumn("keep", F.coalesce("head", "first"))
+    moved = cut(at.join(heads, "component").select(F.col("node").alias("id"), "head"))
+    keep = distinct.select("id", "h1", "h2", "n", "first", "copies").join(hint_small(moved), "id", "left").withColumn("keep", F.coalesce("head", "first"))
     keep = cut(keep.where("copies > 1 or keep <> first").select("h1", "h2", "n", *[F.col(f"keep.{c}").alias("_keep_" + c) for c in (*KEY, "pos")]))
     here = " and ".join(f"{c} <=> _keep_{c}" for c in (*KEY, "pos"))
     gone = join_found(all_lines, keep, ["h1", "h2", "n"], "h1").where(f"not ({here})")
