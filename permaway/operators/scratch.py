@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,7 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 _written: list[str] = []
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -33,16 +36,40 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/cut-{uuid.uuid4().hex}"
     _written.append(path)
+    if (scope := _scope.get()) is not None:
+        scope.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
+
+
+def settle(make: Callable[[], DataFrame]) -> DataFrame:
+    """cut(make()), less the tables that make() has cut on its way: its result is in files of its
+    own, so that nothing reads them any more."""
+    outer, token = _scope.get(), _scope.set([])
+    try:
+        out = cut(make())
+        *steps, last = _scope.get()
+    finally:
+        _scope.reset(token)
+    if outer is not None:
+        outer.append(last)
+    for path in steps:
+        _delete(out.sparkSession, path)
+        if path in _written:
+            _written.remove(path)
+    return out
+
+
 def drop_scratch(spark: SparkSession) -> int:
     """Delete the tables that cut() has written, once results that read them are stored. How many."""
-    conf, done = spark.sparkContext._jsc.hadoopConfiguration(), 0
+    done = 0
     while _written:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
-        done += bool(path.getFileSystem(conf).delete(path, True))
+        done += _delete(spark, _written.pop())
     return done
 
 
