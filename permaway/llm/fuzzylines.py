@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from permaway.llm.rows import KEY, join_found, join_rows, text_keys
 from permaway.operators.components import connected_components
-from permaway.operators.scratch import cut, hint_small
+from permaway.operators.scratch import cut, hint_small, settle
 
 #: Fixed masks of the MinHash permutations of 32-bit hashes: a shingle's hash XOR a mask.
 MASKS = tuple((x * 0x9E3779B1 % (1 << 32)) - (1 << 31) for x in range(1, 33))
@@ -197,7 +197,7 @@ def dedup_lines_fuzzy(docs: DataFrame, threshold: float = 0.8, k: int = 5) -> Da
     empty table gives none. The texts themselves are not shuffled unless the table of what
     goes is too large to be sent out.
     """
-    gone = cut(gone_lines(docs.select("doc_id", "text"), threshold, k).withColumnRenamed("gone", "_gone"))
+    gone = settle(lambda: gone_lines(docs.select("doc_id", "text"), threshold, k).withColumnRenamed("gone", "_gone"))
     j = join_rows(docs, hint_small(gone))
     j = j.withColumn("_gone", F.coalesce("_gone", F.expr("cast(array() as array<int>)"))).withColumn("_text", F.col("_d.text"))
     # The places that stay, by one pass of hashing, so that a text of very many lines stays linear.
