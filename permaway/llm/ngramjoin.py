@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from permaway.llm.batches import text_batches
 from permaway.llm.shingles import shingle_set
 from permaway.operators.components import connected_components
-from permaway.operators.scratch import cut, hint_small
+from permaway.operators.scratch import cut, hint_small, settle
 
 #: Shingles in one chunk of a block, which one task joins with itself or another chunk.
 CHUNK = 150_000
@@ -257,8 +257,8 @@ def keep_first(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Da
     Rows of one doc_id stay or go together; of equal texts the smallest doc_id stays, and a row
     without a doc_id goes where one with an id is linked with it. Null texts and texts without
     words are linked with nothing and stay. All columns are kept; an empty table gives none."""
-    g = near_groups(docs, k, num, den).where("not (doc_id <=> component_id)").select(F.col("doc_id").alias("_linked_id")).distinct()
-    return docs.join(hint_small(cut(g)), F.col("doc_id").eqNullSafe(F.col("_linked_id")), "left_anti")
+    g = settle(lambda: near_groups(docs, k, num, den).where("not (doc_id <=> component_id)").select(F.col("doc_id").alias("_linked_id")).distinct())
+    return docs.join(hint_small(g), F.col("doc_id").eqNullSafe(F.col("_linked_id")), "left_anti")
 
 
 def op5_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
