@@ -49,7 +49,7 @@ def test_a_platform_takes_few_cells_of_wide_radius(spark):
     """An edge of the lattice took some 1,100 cells at 900 m; platforms find their two tracks as before."""
     s = spark.createDataFrame([(0, 0, 2000.0, 0.0, -1000.0, 100.0, 1000.0, 100.0), (1, 0, 2000.0, 0.0, -1000.0, -200.0, 1000.0, -200.0), (2, 0, 2000.0, 0.0, -1000.0, 300.0, 1000.0, 300.0)], SEGMENT)
     assert N.in_cells(s.where("track_index = 0"), 900.0, 900.0).count() <= 24
-    ring = [(-100.0, -5.0), (100.0, -5.0), (100.0, 5.0), (-100.0, 5.0), (-100.0, -5.0)]
+    ring = [(-100.0, -5.0), (100.0, -5.0), (100.0, 5.0), (-100.0, 5.0)]
     p = spark.createDataFrame([(9, ring)], "platform_id bigint, points array<struct<x:float,y:float>>")
     found = sorted((r.rank, r.track_index, round(r.from_m), round(r.to_m)) for r in N.platform_entries(p, s, 900.0).collect())
-    assert [r[:2] for r in found] == [(1, 0), (2, 1)] and all(abs(a - 900) <= 20 and abs(b - 1100) <= 20 for _, _, a, b in found), found
+    assert [r[:2] for r in found] == [(1, 0), (2, 1)] and all(abs(a - 900) <= 2 and abs(b - 1100) <= 2 for _, _, a, b in found), found
