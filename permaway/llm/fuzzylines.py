@@ -91,7 +91,7 @@ def mixed_buckets(members: DataFrame, groups: DataFrame) -> DataFrame:
     b = cut(members.join(groups.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id")))
     size = b.groupBy("band", "component").agg(F.count("*").alias("c"))
     major = size.groupBy("band").agg(F.max(F.struct("c", "component")).alias("x"), F.count("*").alias("kinds")).where("kinds > 1")
-    return cut(b.join(cut(major.select("band", F.col("x.component").alias("major"))), "band"))
+    return b.join(cut(major.select("band", F.col("x.component").alias("major"))), "band")
 
 
 def left_links(lines: DataFrame, distinct: DataFrame, members: DataFrame, groups: DataFrame, threshold: float, k: int) -> DataFrame:
@@ -103,7 +103,7 @@ def left_links(lines: DataFrame, distinct: DataFrame, members: DataFrame, groups
     then a pair is compared in the first band that it shares, within the join, which gives
     links alone. No list of pairs is ever made.
     """
-    mixed = mixed_buckets(members, groups)
+    mixed = settle(lambda: mixed_buckets(members, groups))
     at = lambda df, x, *more: df.select("band", *more, *[F.col(c).alias(x + c) for c in ("id", "s1", "s2", "component")])
     x, y = at(mixed.where("component <> major"), "x"), at(mixed, "y", "major")
     candidate = F.expr(f"xcomponent <> ycomponent and (xid < yid or ycomponent = major) and {_agreeing('x', 'y')} >= {AGREE}")
@@ -151,16 +151,18 @@ def similar_lines(lines: DataFrame, distinct: DataFrame, pairs: DataFrame, thres
 
 def distinct_lines(lines: DataFrame, all_lines: DataFrame, k: int) -> DataFrame:
     """(id, h1, h2, n, first, copies, bands, s1, s2): each line that differs from the others, once,
-    with its first place. Both sides of the join are dealt by its keys already."""
+    with its first place. Both sides of the join are dealt by its keys already. To be written down
+    at once, since ids come out otherwise when they are worked out again."""
     first = all_lines.groupBy("h1", "h2", "n").agg(F.min(F.struct(*KEY, "pos")).alias("first"), F.count("*").alias("copies"))
-    return cut(first.join(signatures(lines, k), ["h1", "h2", "n"]).withColumn("id", F.monotonically_increasing_id()))
+    return first.join(signatures(lines, k), ["h1", "h2", "n"]).withColumn("id", F.monotonically_increasing_id())
 
 
 def line_groups(lines: DataFrame, distinct: DataFrame, members: DataFrame, threshold: float, k: int) -> DataFrame:
-    """(node, component) of the lines that resemble another: leaders first, then what is left."""
-    links = similar_lines(lines, distinct, cut(leader_pairs(members)), threshold, k)
-    groups = cut(connected_components(links, "a", "b"))
-    more = left_links(lines, distinct, members, groups, threshold, k)
+    """(node, component) of the lines that resemble another: leaders first, then what is left. Each
+    step's tables go once it is done."""
+    links = settle(lambda: similar_lines(lines, distinct, cut(leader_pairs(members)), threshold, k))
+    groups = settle(lambda: connected_components(links, "a", "b"))
+    more = settle(lambda: left_links(lines, distinct, members, groups, threshold, k))
     return connected_components(more.unionByName(groups.select(F.col("component").alias("a"), F.col("node").alias("b"))), "a", "b")
 
 
@@ -173,7 +175,7 @@ def gone_lines(docs: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame
     """
     lines = lines_of(docs)
     all_lines = cut(lines.drop("line"))
-    distinct = distinct_lines(lines, all_lines, k)
+    distinct = settle(lambda: distinct_lines(lines, all_lines, k))
     members = members_of(distinct)
     groups = line_groups(lines, distinct, members, threshold, k)
     # Written down, so that the join of a component's lines with its head can be split.

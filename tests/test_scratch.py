@@ -1,5 +1,7 @@
 """Scratch tables: what settle keeps and what it deletes."""
 
+import time
+
 from permaway.operators import scratch
 
 
@@ -21,3 +23,27 @@ def test_settle_keeps_the_result_alone(spark):
     for path in steps:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         assert not p.getFileSystem(conf).exists(p)
+
+
+def test_settle_has_the_shuffle_files_of_its_query_deleted(spark):
+    """They stayed until the driver happened to collect its garbage."""
+    files = lambda: {f.getName() for f in _shuffled(spark)}
+    before = files()
+    made = []
+
+    def make():
+        df = scratch.cut(spark.range(200_000).selectExpr("id % 50021 AS k", "id").groupBy("k").sum("id"))
+        made.append(files() - before)
+        return df
+
+    assert scratch.settle(make).count() == 50021 and made[0]
+    until = time.time() + 20
+    while made[0] & files() and time.time() < until:
+        time.sleep(0.2)
+    assert not made[0] & files()
+
+
+def _shuffled(spark):
+    """The shuffle files that lie in the folders of this process."""
+    found = spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles())
+    return [f for f in found if f.getName().startswith("shuffle_")]
