@@ -7,16 +7,20 @@ from pyspark.sql import functions as F
 
 from permaway.llm.rows import KEY, join_found, join_rows, text_keys
 from permaway.operators.components import connected_components
-from permaway.operators.scratch import cut, hint_small, settle
+from permaway.operators.scratch import cut, discard, hint_small, settle
 
-#: Fixed masks of the MinHash permutations of 32-bit hashes: a shingle's hash XOR a mask.
-MASKS = tuple((x * 0x9E3779B1 % (1 << 32)) - (1 << 31) for x in range(1, 33))
+#: Minima of a signature: the hashes of all shingles are dealt to so many bins by their low bits.
+BINS = 32
+#: An empty bin borrows from bin (a * i + b) % BINS, in each round that of the round before.
+BORROW = ((13, 7), (5, 17), (29, 3), (21, 11), (9, 26), (17, 5))
 #: The minima of each band, one of every eight: bands share one minimum at most. Sets that are
 #: alike by 0.8 agree in a band with a probability of 0.994, by 0.85 of 0.999.
 BANDS = tuple((i, 8 + i, 16 + i, 24 + i) for i in range(8)) + tuple((i, 8 + (i + 1) % 8, 16 + (i + 3) % 8, 24 + (i + 5) % 8) for i in range(4))
 #: Of each minimum four bits are kept; lines of which fewer agree are not compared.
 #: Of pairs of a similarity of 0.8 less than one in a thousand has so few.
 AGREE = 17
+#: Lines of which so many agree are taken for alike until they have been compared.
+LIKELY = 24
 #: What is trimmed off a line's ends.
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -31,28 +35,44 @@ def shingles(line: str, k: int) -> str:
 
 def signatures(lines: DataFrame, k: int) -> DataFrame:
     """(h1, h2, n, bands, s1, s2) of each line that differs from the others: MinHash over all
-    k-character shingles.
+    k-character shingles, by one permutation.
 
     Shingles are rows, hashed in generated code, and the minima ordinary aggregates that are
-    combined before the shuffle; equal lines fall together. Four bytes to a character, so
-    that a shingle is a slice; a shorter line is its own one.
+    combined before the shuffle; equal lines fall together. Each shingle counts in the one bin
+    that its hash names, whose filter spares the others. A bin that no shingle of a short line
+    falls into borrows along a fixed order of bins, so that two lines agree in a bin with the
+    probability of their similarity there too. Four bytes to a character, so that a shingle is
+    a slice; a shorter line is its own one.
     """
     # A lambda ends the generated function of the scan here, which would be too long to be compiled.
     x = lines.select("h1", "h2", "n", F.expr("element_at(transform(array(line), x -> encode(x, 'UTF-32')), 1)").alias("b"))
     x = x.select("h1", "h2", "n", "b", F.expr(f"explode(sequence(1, greatest(length(b) - {4 * k - 1}, 1), 4))").alias("i"))
     x = x.select("h1", "h2", "n", F.expr(f"cast(shiftright(xxhash64(substring(b, i, {4 * k})), 32) as int)").alias("s"))
-    g = x.groupBy("h1", "h2", "n").agg(*[F.min(F.col("s").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(MASKS)])
-    g = g.select("h1", "h2", "n", F.array(*[f"m{i}" for i in range(len(MASKS))]).alias("m"))
-    bands = ", ".join(f"xxhash64({b}, {', '.join(f'm[{i}]' for i in members)})" for b, members in enumerate(BANDS))
+    g = x.groupBy("h1", "h2", "n").agg(*[F.expr(f"min(s) FILTER (WHERE (s & {BINS - 1}) = {i})").alias(f"m{i}") for i in range(BINS)])
+    full = F.expr(" ^ ".join(f"m{i}" for i in range(BINS)) + " is not null")
+    g = g.select("h1", "h2", "n", full.alias("full"), F.array(*[f"m{i}" for i in range(BINS)]).alias("m"))
+    g = g.select("h1", "h2", "n", F.expr(f"CASE WHEN full THEN m ELSE {_borrowed('m')} END").alias("m"))
+    # Forty bits of a band's hash: fewer bytes as a table, and lines that meet by chance are compared like others.
+    bands = ", ".join(f"xxhash64({b}, {', '.join(f'm[{i}]' for i in members)}) & 1099511627775L" for b, members in enumerate(BANDS))
     # In lambdas, which keep the minima from being put in place of their names over and over.
-    sketch = [f"aggregate(slice(m, {half + 1}, 16), 0L, (a, x) -> shiftleft(a, 4) | (x & 15))" for half in (0, 16)]
+    sketch = [f"aggregate(slice(m, {half + 1}, 16), 0L, (a, x) -> shiftleft(a, 4) | (shiftright(x, 5) & 15))" for half in (0, 16)]
     return g.select("h1", "h2", "n", F.expr(f"element_at(transform(array(m), m -> array({bands})), 1)").alias("bands"), *[F.expr(x).alias(f"s{i}") for i, x in enumerate(sketch, 1)])
 
 
+def _borrowed(m: str) -> str:
+    """SQL of the minima m with a value in every bin."""
+    out = m
+    for r, (a, b) in enumerate(BORROW):
+        out = f"element_at(transform(array({out}), m{r} -> transform(m{r}, (x, i) -> coalesce(x, m{r}[(i * {a} + {b}) & {BINS - 1}]))), 1)"
+    return f"transform({out}, x -> coalesce(x, array_min({m})))"
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
     """(doc_id, r1, r2, pos, h1, h2, n, line) of the lines that hold something: lower case, ASCII
     blanks at the ends off. 96 bits of two hashes and the length stand for a line."""
-    u = docs.select("doc_id", *text_keys(F.col("text")), F.posexplode(F.split(F.lower("text"), "\n", -1)).alias("pos", "line"))
+    # The text's own hashes come before its lines, once a text. Not the plain posexplode, for which Spark splits once more in a filter.
+    u = docs.select("doc_id", *text_keys(F.col("text")), F.split(F.lower("text"), "\n", -1).alias("lines"))
+    u = u.select(*KEY, F.posexplode_outer("lines").alias("pos", "line"))
     u = u.withColumn("line", F.btrim("line", F.lit(BLANKS))).where("line <> ''")
     return u.select(*KEY, "pos", F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), F.length("line").alias("n"), "line")
 
@@ -63,7 +83,7 @@ def _agreeing(x: str, y: str) -> str:
     for s in ("s1", "s2"):
         d = f"({x}{s} ^ {y}{s})"
         parts.append(f"bit_count((({d} | shiftrightunsigned({d}, 1) | shiftrightunsigned({d}, 2) | shiftrightunsigned({d}, 3)) & 1229782938247303441L))")
-    return f"{len(MASKS)} - {' - '.join(parts)}"
+    return f"{BINS} - {' - '.join(parts)}"
 
 
 def members_of(distinct: DataFrame) -> DataFrame:
@@ -74,21 +94,38 @@ def members_of(distinct: DataFrame) -> DataFrame:
 
 
 def leader_pairs(members: DataFrame) -> DataFrame:
-    """(a, b) with a < b: every line and the leaders of its buckets, those of the smallest id and
+    """(id, oid, agree): every line and the leaders of its buckets, those of the smallest id and
     of the smallest hash of id and band: aggregates combined before the shuffle, joined back so
     that the lines of a hot bucket are spread over tasks. `left_links` has the others."""
     row = F.struct("id", "s1", "s2")
     g = members.groupBy("band").agg(F.min(row).alias("one"), F.min(F.struct(F.xxhash64("id", "band").alias("h"), "id", "s1", "s2")).alias("two"))
     leaders = cut(g.select("band", F.explode(F.array("one", F.struct("two.id", "two.s1", "two.s2"))).alias("o")).select("band", F.col("o.id").alias("oid"), F.col("o.s1").alias("os1"), F.col("o.s2").alias("os2")).distinct())
-    j = members.join(leaders, "band").where("id <> oid").where(f"{_agreeing('', 'o')} >= {AGREE}")
-    return j.select(F.least("id", "oid").alias("a"), F.greatest("id", "oid").alias("b")).distinct()
+    j = members.join(leaders, "band").where("id <> oid").withColumn("agree", F.expr(_agreeing("", "o"))).where(f"agree >= {AGREE}")
+    return j.select("id", "oid", "agree").distinct()
+
+
+def leader_groups(lines: DataFrame, distinct: DataFrame, members: DataFrame, threshold: float, k: int) -> DataFrame:
+    """(node, component) of the lines that resemble leaders: each line is compared with one, the
+    smallest of those that are LIKELY to be like it; then, of the others that are, one pair of
+    any two components that came of that. What both leave over is for `left_links`."""
+    pairs = cut(leader_pairs(members))
+    texts = cut(texts_of(lines, distinct, pairs.select(F.explode(F.array("id", "oid")).alias("id"))))
+    one = pairs.groupBy("id").agg(F.min(F.struct((F.col("agree") < LIKELY).alias("far"), "oid")).alias("to"))
+    links = cut(compared(one.select(F.least("id", "to.oid").alias("a"), F.greatest("id", "to.oid").alias("b")).distinct(), texts, threshold, k))
+    groups = hint_small(cut(connected_components(links, "a", "b")))
+    rest = pairs.where(f"agree >= {LIKELY}")
+    for c in ("id", "oid"):
+        rest = rest.join(groups.select(F.col("node").alias(c), F.col("component").alias("c" + c)), c, "left").withColumn("c" + c, F.coalesce("c" + c, c))
+    rest = rest.where("cid <> coid").groupBy(F.least("cid", "coid").alias("x"), F.greatest("cid", "coid").alias("y"))
+    rest = rest.agg(F.max(F.struct("agree", F.least("id", "oid").alias("a"), F.greatest("id", "oid").alias("b"))).alias("p")).select("p.a", "p.b")
+    return connected_components(links.unionByName(compared(rest, texts, threshold, k)), "a", "b")
 
 
 def mixed_buckets(members: DataFrame, groups: DataFrame) -> DataFrame:
     """members with component and major, the bucket's largest one, of buckets that hold lines of
     several components. Groups of near copies are tied by their leaders, and a bucket of one
     component is done."""
-    b = cut(members.join(groups.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id")))
+    b = cut(members.join(hint_small(groups).select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id")))
     size = b.groupBy("band", "component").agg(F.count("*").alias("c"))
     major = size.groupBy("band").agg(F.max(F.struct("c", "component")).alias("x"), F.count("*").alias("kinds")).where("kinds > 1")
     return b.join(cut(major.select("band", F.col("x.component").alias("major"))), "band")
@@ -100,31 +137,34 @@ def left_links(lines: DataFrame, distinct: DataFrame, members: DataFrame, groups
     Lines outside a bucket's largest component are compared with all that are of another one,
     so that a very large group of copies is not compared with itself. Semi-joins on the
     sketches tell first which lines have any candidate, and only those carry their texts;
-    then a pair is compared in the first band that it shares, within the join, which gives
-    links alone. No list of pairs is ever made.
+    then a pair is compared by short hashes in the first band that it shares, within the join,
+    which gives next to links alone; these are compared exactly. No list of other pairs is
+    ever made.
     """
     mixed = settle(lambda: mixed_buckets(members, groups))
+    discard(members)
     at = lambda df, x, *more: df.select("band", *more, *[F.col(c).alias(x + c) for c in ("id", "s1", "s2", "component")])
     x, y = at(mixed.where("component <> major"), "x"), at(mixed, "y", "major")
     candidate = F.expr(f"xcomponent <> ycomponent and (xid < yid or ycomponent = major) and {_agreeing('x', 'y')} >= {AGREE}")
     xs, ys = (cut(one.join(other.withColumnRenamed("band", "_band"), (F.col("band") == F.col("_band")) & candidate, "left_semi")) for one, other in ((x, y), (y, x)))
+    discard(mixed)
     refs = xs.select(F.col("xid").alias("id")).union(ys.select("yid"))
-    # A quarter of a line's shingles by their hashes tells pairs that fall short by far.
-    quarter = F.expr(f"transform(filter(array_distinct({shingles('line', k)}), h -> (h & 3) = 0), h -> int(shiftright(h, 32)))")
-    texts = cut(texts_of(lines, distinct, refs, "bands").withColumn("q", quarter))
-    x, y = (r.join(texts.select(F.col("id").alias(n + "id"), *[F.col(c).alias(c + n) for c in ("line", "bands", "q")]), n + "id") for r, n in ((xs, "x"), (ys, "y")))
+    # Sixteen bits of each shingle, made once a line, tell most pairs that fall short.
+    short = F.expr(f"array_distinct(transform({shingles('line', k)}, h -> smallint(shiftright(h, 48))))")
+    texts = cut(texts_of(lines, distinct, refs, "bands").withColumn("q", short))
+    x, y = (r.join(texts.select(F.col("id").alias(n + "id"), *[F.col(c).alias(c + n) for c in ("bands", "q")]), n + "id") for r, n in ((xs, "x"), (ys, "y")))
     first = F.col("band") == F.array_min(F.array_intersect("bandsx", "bandsy"))
-    j = cut(x).join(cut(y).withColumnRenamed("band", "_band"), (F.col("band") == F.col("_band")) & candidate & first & F.expr(_near(threshold)) & F.expr(_similar("linex", "liney", threshold, k)))
-    return j.select(F.col("xid").alias("a"), F.col("yid").alias("b"))
+    j = x.join(y.withColumnRenamed("band", "_band"), (F.col("band") == F.col("_band")) & candidate & first & F.expr(_near(threshold)))
+    return compared(cut(j.select(F.col("xid").alias("a"), F.col("yid").alias("b"))), texts, threshold, k)
 
 
 def _near(threshold: float) -> str:
-    """SQL of whether the Jaccard similarity of the quarters qx and qy is no more than 3.3 of its
-    standard deviations under the threshold: of pairs that reach it, one in two thousand is not."""
-    width = 3.3 * (threshold * (1 - threshold)) ** 0.5
-    union = "(s.n - s.both)"
-    sizes = "transform(array(size(array_intersect(qx, qy))), b -> struct(size(qx) + size(qy) as n, b as both))"
-    return f"exists({sizes}, s -> s.n = 0 or s.both >= ({threshold}D - {width!r}D / sqrt(greatest({union}, 1))) * {union})"
+    """SQL of whether the sets qx and qy of 16-bit hashes reach the threshold less 0.03, with two
+    more in common. Hashes that coincide make sets more alike on the whole: what two sets share
+    shrinks less by them than their union does."""
+    t = threshold - 0.03
+    fits = f"least(size(qx), size(qy)) + 2 >= {t!r}D * greatest(size(qx), size(qy))"
+    return f"{fits} and (size(array_intersect(qx, qy)) + 2) * {1 + t!r}D >= {t!r}D * (size(qx) + size(qy))"
 
 
 def texts_of(lines: DataFrame, distinct: DataFrame, refs: DataFrame, *more: str) -> DataFrame:
@@ -142,9 +182,8 @@ def _similar(x: str, y: str, threshold: float, k: int) -> str:
     return f"exists({sets}, s -> s.both >= {threshold}D * (s.n - s.both))"
 
 
-def similar_lines(lines: DataFrame, distinct: DataFrame, pairs: DataFrame, threshold: float, k: int) -> DataFrame:
-    """The pairs whose k-character shingle sets have a Jaccard similarity of the threshold or more."""
-    texts = cut(texts_of(lines, distinct, pairs.select(F.explode(F.array("a", "b")).alias("id"))))
+def compared(pairs: DataFrame, texts: DataFrame, threshold: float, k: int) -> DataFrame:
+    """The pairs (a, b) of which the lines in texts reach the threshold."""
     left, right = (texts.select(F.col("id").alias(x), F.col("line").alias("l" + x)) for x in "ab")
     return pairs.join(left, "a").join(right, "b").where(F.expr(_similar("la", "lb", threshold, k))).select("a", "b")
 
@@ -159,9 +198,8 @@ def distinct_lines(lines: DataFrame, all_lines: DataFrame, k: int) -> DataFrame:
 
 def line_groups(lines: DataFrame, distinct: DataFrame, members: DataFrame, threshold: float, k: int) -> DataFrame:
     """(node, component) of the lines that resemble another: leaders first, then what is left. Each
-    step's tables go once it is done."""
-    links = settle(lambda: similar_lines(lines, distinct, cut(leader_pairs(members)), threshold, k))
-    groups = settle(lambda: connected_components(links, "a", "b"))
+    step's tables go once it is done, members too."""
+    groups = settle(lambda: leader_groups(lines, distinct, members, threshold, k))
     more = settle(lambda: left_links(lines, distinct, members, groups, threshold, k))
     return connected_components(more.unionByName(groups.select(F.col("component").alias("a"), F.col("node").alias("b"))), "a", "b")
 

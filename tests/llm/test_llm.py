@@ -441,6 +441,28 @@ def test_lines_without_blanks_are_found(spark):
     assert sorted(r.doc_id for r in got.collect()) == list(range(100, 180))
 
 
+def test_texts_are_hashed_once_and_not_once_a_line(spark):
+    plan = fuzzylines.lines_of(make(spark, [(1, "a\nb", "s")]))._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Generate")]
+    assert "text#" not in above and "AS r1" not in above
+
+
+def test_short_lines_meet_as_often_as_they_are_alike(spark):
+    """Sets of five of which two share four, as bands and AGREE let them through."""
+    rng = np.random.default_rng(13)
+    words = ["".join(chr(0x4E00 + c) for c in rng.integers(0, 20000, 9)) for _ in range(1500)]
+    rows = [(2 * i + j, w[: 9 - j], "s") for i, w in enumerate(words) for j in (0, 1)]
+    lines = fuzzylines.lines_of(make(spark, rows))
+    sign = {(r.h1, r.h2): r for r in fuzzylines.signatures(lines, 5).collect()}
+    of = {r.doc_id: sign[r.h1, r.h2] for r in lines.collect()}
+    met = 0
+    for i in range(1500):
+        x, y = of[2 * i], of[2 * i + 1]
+        d = [(a ^ b) & (2**64 - 1) for a, b in ((x.s1, y.s1), (x.s2, y.s2))]
+        met += bool(set(x.bands) & set(y.bands)) and sum(not v >> 4 * j & 15 for v in d for j in range(16)) >= fuzzylines.AGREE
+    assert met >= 0.98 * 1500
+
+
 # 8 line hashing
 
 
