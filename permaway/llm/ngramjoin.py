@@ -241,7 +241,7 @@ def near_groups(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> D
     again = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi")
     full = _sets(again, k, num, den, True).join(which, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("digest") == F.col("_g")))
     full = cut(full.select("id", "n", "tokens").dropDuplicates(["id"]))
-    blocks = blocks_of(full, num, den)
+    blocks = hint_small(cut(blocks_of(full, num, den)))
     links = join_blocks(full.join(blocks, "id"), num, den)
     comp = connected_components(links, "a", "b").select(F.col("node").alias("id"), "component")
     low = comp.join(classes.select("id", "doc_id"), "id").groupBy("component").agg(F.min("doc_id").alias("low"))

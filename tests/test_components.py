@@ -31,3 +31,22 @@ def test_stars_take_no_round(spark, monkeypatch):
     edges = spark.createDataFrame([(i, i % 10) for i in range(10, 100)], "src bigint, dst bigint")
     out = components.connected_components(edges).collect()
     assert sorted((r.node, r.component) for r in out) == [(i, i % 10) for i in range(100)]
+
+
+def test_few_edges_are_solved_at_once_and_rounds_agree(spark, monkeypatch):
+    rnd = random.Random(9)
+    pairs = [(i, i + 1) for i in range(40)] + [(rnd.randrange(1000, 1300), rnd.randrange(1000, 1300)) for _ in range(170)] + [(1 << 60, -5), (None, 3), (7, 7)]
+    edges = spark.createDataFrame(pairs, "src bigint, dst bigint")
+    monkeypatch.setattr(components, "LOCAL", 0)
+    rounds = sorted(map(tuple, components.connected_components(edges).collect()))
+
+    def star(*_):
+        raise AssertionError("a round")
+
+    monkeypatch.undo()
+    monkeypatch.setattr(components, "_star", star)
+    assert sorted(map(tuple, components.connected_components(edges).collect())) == rounds
+    # Ends that are no longs have rounds of their own.
+    monkeypatch.undo()
+    named = spark.createDataFrame([("b", "c"), ("c", "a"), ("a", "d")], "src string, dst string")
+    assert {tuple(r) for r in components.connected_components(named).collect()} == {(x, "a") for x in "abcd"}
