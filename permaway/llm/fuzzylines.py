@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from permaway.llm.rows import KEY, join_found, join_rows, text_keys
+from permaway.llm.rows import KEY, each_text, join_found, join_rows, text_keys
 from permaway.operators.components import connected_components
 from permaway.operators.scratch import cut, discard, hint_small, settle
 
@@ -213,7 +213,7 @@ def gone_lines(docs: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame
     """
     lines = lines_of(docs)
     all_lines = cut(lines.drop("line"))
-    distinct = settle(lambda: distinct_lines(lines, all_lines, k))
+    distinct = settle(lambda: distinct_lines(lines_of(each_text(docs.select("doc_id", "text"))), all_lines, k))
     members = members_of(distinct)
     groups = line_groups(lines, distinct, members, threshold, k)
     # Written down, so that the join of a component's lines with its head can be split.

@@ -32,6 +32,22 @@ def _bit(key: str) -> tuple[str, str]:
     return f"shiftrightunsigned({key}, 6) & {SIEVE_WORDS - 1}L", f"shiftleft(1L, int({key} & 63))"
 
 
+def _sifted(big: DataFrame, found: DataFrame, hashed: str) -> DataFrame:
+    """The rows of big whose hashed key found has, and a few others: one bit for each value is sent out."""
+    word, bit = _bit(hashed)
+    sieve = found.groupBy(F.expr(word).alias("_word")).agg(F.bit_or(F.expr(bit)).alias("_bits"))
+    thin = big.withColumn("_w", F.expr(word)).join(F.broadcast(sieve), F.col("_w") == F.col("_word")).where(f"_bits & {bit} <> 0")
+    return thin.drop("_w", "_word", "_bits")
+
+
+def each_text(docs: DataFrame) -> DataFrame:
+    """docs(doc_id, text, ...) less most rows whose text a row of a smaller doc_id has too: at least one
+    row of each text stays. Nothing but a bit for each text is sent, and no text is shuffled."""
+    keyed = docs.withColumns({c: x for c, x in zip(KEY[1:], text_keys(F.col("text")), strict=True)})
+    first = keyed.groupBy(*KEY[1:]).agg(F.min("doc_id").alias("doc_id"))
+    return _sifted(keyed, first, f"xxhash64({', '.join(KEY)})").select(*docs.columns)
+
+
 def join_found(big: DataFrame, found: DataFrame, keys: list[str], hashed: str) -> DataFrame:
     """big joined with found, a cut table of rows that hold few of big's keys.
 
@@ -40,7 +56,4 @@ def join_found(big: DataFrame, found: DataFrame, keys: list[str], hashed: str) -
     no more than a shuffle of all where the table has grown beyond its use."""
     if bytes_of(found) <= BROADCAST_BYTES and found.count() <= BROADCAST_ROWS:
         return big.join(F.broadcast(found), keys)
-    word, bit = _bit(hashed)
-    sieve = found.groupBy(F.expr(word).alias("_word")).agg(F.bit_or(F.expr(bit)).alias("_bits"))
-    thin = big.withColumn("_w", F.expr(word)).join(F.broadcast(sieve), F.col("_w") == F.col("_word")).where(f"_bits & {bit} <> 0")
-    return thin.drop("_w", "_word", "_bits").join(found, keys)
+    return _sifted(big, found, hashed).join(found, keys)
