@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from permaway.llm.rows import KEY, each_text, join_found, join_rows, text_keys
@@ -50,13 +50,20 @@ def signatures(lines: DataFrame, k: int) -> DataFrame:
     x = x.select("h1", "h2", "n", F.expr(f"cast(shiftright(xxhash64(substring(b, i, {4 * k})), 32) as int)").alias("s"))
     g = x.groupBy("h1", "h2", "n").agg(*[F.expr(f"min(s) FILTER (WHERE (s & {BINS - 1}) = {i})").alias(f"m{i}") for i in range(BINS)])
     full = F.expr(" ^ ".join(f"m{i}" for i in range(BINS)) + " is not null")
-    g = g.select("h1", "h2", "n", full.alias("full"), F.array(*[f"m{i}" for i in range(BINS)]).alias("m"))
-    g = g.select("h1", "h2", "n", F.expr(f"CASE WHEN full THEN m ELSE {_borrowed('m')} END").alias("m"))
+    # Of lines that fill all bins, nearly all, bands and sketches are generated code; lambdas, which
+    # are not, have the lines that borrow, and keep minima from being put in place of their names.
+    m = F.array(*[f"m{i}" for i in range(BINS)])
+    g = g.select("h1", "h2", "n", full.alias("full"), F.when(~full, m).alias("m"), *[f"m{i}" for i in range(BINS)])
+    g = g.select("*", F.expr(f"CASE WHEN NOT full THEN {_borrowed('m')} END").alias("lent"))
+
+    def either(direct: str, lent: str) -> Column:
+        return F.expr(f"CASE WHEN full THEN {direct} ELSE element_at(transform(array(lent), m -> {lent}), 1) END")
+
     # Forty bits of a band's hash: fewer bytes as a table, and lines that meet by chance are compared like others.
-    bands = ", ".join(f"xxhash64({b}, {', '.join(f'm[{i}]' for i in members)}) & 1099511627775L" for b, members in enumerate(BANDS))
-    # In lambdas, which keep the minima from being put in place of their names over and over.
-    sketch = [f"aggregate(slice(m, {half + 1}, 16), 0L, (a, x) -> shiftleft(a, 4) | (shiftright(x, 5) & 15))" for half in (0, 16)]
-    return g.select("h1", "h2", "n", F.expr(f"element_at(transform(array(m), m -> array({bands})), 1)").alias("bands"), *[F.expr(x).alias(f"s{i}") for i, x in enumerate(sketch, 1)])
+    bands = lambda x: ", ".join(f"xxhash64({b}, {', '.join(x.format(i) for i in members)}) & 1099511627775L" for b, members in enumerate(BANDS))
+    sketch = lambda x, half: " | ".join(f"shiftleft(cast(shiftright({x.format(half + i)}, 5) & 15 as bigint), {60 - 4 * i})" for i in range(16))
+    both = [(f"array({bands('m{}')})", f"array({bands('m[{}]')})"), *[(sketch("m{}", half), sketch("m[{}]", half)) for half in (0, 16)]]
+    return g.select("h1", "h2", "n", *[either(*x).alias(c) for c, x in zip(("bands", "s1", "s2"), both, strict=True)])
 
 
 def _borrowed(m: str) -> str:
@@ -77,6 +84,13 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return u.select(*KEY, "pos", F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), F.length("line").alias("n"), "line")
 
 
+def places_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, r1, r2, pos, line) of all lines as they stand. A line folds alike by itself and within
+    its text, since what a letter becomes depends on nothing beyond a line feed."""
+    u = docs.select("doc_id", *text_keys(F.col("text")), F.split("text", "\n", -1).alias("lines"))
+    return u.select(*KEY, F.posexplode_outer("lines").alias("pos", "line"))
+
+
 def _agreeing(x: str, y: str) -> str:
     """SQL of how many of the minima's low four bits two sketches share."""
     parts = []
@@ -104,12 +118,12 @@ def leader_pairs(members: DataFrame) -> DataFrame:
     return j.select("id", "oid", "agree").distinct()
 
 
-def leader_groups(lines: DataFrame, distinct: DataFrame, members: DataFrame, threshold: float, k: int) -> DataFrame:
+def leader_groups(places: DataFrame, distinct: DataFrame, members: DataFrame, threshold: float, k: int) -> DataFrame:
     """(node, component) of the lines that resemble leaders: each line is compared with one, the
     smallest of those that are LIKELY to be like it; then, of the others that are, one pair of
     any two components that came of that. What both leave over is for `left_links`."""
     pairs = cut(leader_pairs(members))
-    texts = cut(texts_of(lines, distinct, pairs.select(F.explode(F.array("id", "oid")).alias("id"))))
+    texts = cut(texts_of(places, distinct, pairs.select(F.explode(F.array("id", "oid")).alias("id"))))
     one = pairs.groupBy("id").agg(F.min(F.struct((F.col("agree") < LIKELY).alias("far"), "oid")).alias("to"))
     links = cut(compared(one.select(F.least("id", "to.oid").alias("a"), F.greatest("id", "to.oid").alias("b")).distinct(), texts, threshold, k))
     groups = hint_small(cut(connected_components(links, "a", "b")))
@@ -131,7 +145,7 @@ def mixed_buckets(members: DataFrame, groups: DataFrame) -> DataFrame:
     return b.join(cut(major.select("band", F.col("x.component").alias("major"))), "band")
 
 
-def left_links(lines: DataFrame, distinct: DataFrame, members: DataFrame, groups: DataFrame, threshold: float, k: int) -> DataFrame:
+def left_links(places: DataFrame, distinct: DataFrame, members: DataFrame, groups: DataFrame, threshold: float, k: int) -> DataFrame:
     """(a, b): the links within buckets that no component holds yet.
 
     Lines outside a bucket's largest component are compared with all that are of another one,
@@ -146,12 +160,15 @@ def left_links(lines: DataFrame, distinct: DataFrame, members: DataFrame, groups
     at = lambda df, x, *more: df.select("band", *more, *[F.col(c).alias(x + c) for c in ("id", "s1", "s2", "component")])
     x, y = at(mixed.where("component <> major"), "x"), at(mixed, "y", "major")
     candidate = F.expr(f"xcomponent <> ycomponent and (xid < yid or ycomponent = major) and {_agreeing('x', 'y')} >= {AGREE}")
-    xs, ys = (cut(one.join(other.withColumnRenamed("band", "_band"), (F.col("band") == F.col("_band")) & candidate, "left_semi")) for one, other in ((x, y), (y, x)))
+    with_any = lambda one, other: cut(one.join(other.withColumnRenamed("band", "_band"), (F.col("band") == F.col("_band")) & candidate, "left_semi"))
+    xs = with_any(x, y)
+    # The candidates of a line in y are all in xs, which is small.
+    ys = with_any(y, hint_small(xs))
     discard(mixed)
     refs = xs.select(F.col("xid").alias("id")).union(ys.select("yid"))
     # Sixteen bits of each shingle, made once a line, tell most pairs that fall short.
     short = F.expr(f"array_distinct(transform({shingles('line', k)}, h -> smallint(shiftright(h, 48))))")
-    texts = cut(texts_of(lines, distinct, refs, "bands").withColumn("q", short))
+    texts = cut(texts_of(places, distinct, refs, "bands").withColumn("q", short))
     x, y = (r.join(texts.select(F.col("id").alias(n + "id"), *[F.col(c).alias(c + n) for c in ("bands", "q")]), n + "id") for r, n in ((xs, "x"), (ys, "y")))
     first = F.col("band") == F.array_min(F.array_intersect("bandsx", "bandsy"))
     j = x.join(y.withColumnRenamed("band", "_band"), (F.col("band") == F.col("_band")) & candidate & first & F.expr(_near(threshold)))
@@ -167,12 +184,15 @@ def _near(threshold: float) -> str:
     return f"{fits} and (size(array_intersect(qx, qy)) + 2) * {1 + t!r}D >= {t!r}D * (size(qx) + size(qy))"
 
 
-def texts_of(lines: DataFrame, distinct: DataFrame, refs: DataFrame, *more: str) -> DataFrame:
-    """(id, line, more columns of distinct) of the lines of these ids, fetched by digest and first place."""
-    of = distinct.select("id", "h1", "h2", "n", *[F.col(f"first.{c}").alias("_first_" + c) for c in (*KEY, "pos")], *more)
+def texts_of(places: DataFrame, distinct: DataFrame, refs: DataFrame, *more: str) -> DataFrame:
+    """(id, line, more columns of distinct) of the lines of these ids, fetched by first place: no
+    line but these is folded and hashed again."""
+    first = [F.col(f"first.{c}").alias("_first_" + c) for c in (*KEY, "pos")]
+    of = distinct.select("id", F.xxhash64(*[f"first.{c}" for c in (*KEY, "pos")]).alias("place"), *first, *more)
     at = cut(join_found(of, cut(refs.distinct()), ["id"], "xxhash64(id)"))
     here = " and ".join(f"{c} <=> _first_{c}" for c in (*KEY, "pos"))
-    return join_found(lines, at, ["h1", "h2", "n"], "h1").where(here).select("id", "line", *more).dropDuplicates(["id"])
+    found = join_found(places.withColumn("place", F.xxhash64(*KEY, "pos")), at, ["place"], "place").where(here)
+    return found.select("id", F.btrim(F.lower("line"), F.lit(BLANKS)).alias("line"), *more).dropDuplicates(["id"])
 
 
 def _similar(x: str, y: str, threshold: float, k: int) -> str:
@@ -196,11 +216,11 @@ def distinct_lines(lines: DataFrame, all_lines: DataFrame, k: int) -> DataFrame:
     return first.join(signatures(lines, k), ["h1", "h2", "n"]).withColumn("id", F.monotonically_increasing_id())
 
 
-def line_groups(lines: DataFrame, distinct: DataFrame, members: DataFrame, threshold: float, k: int) -> DataFrame:
+def line_groups(places: DataFrame, distinct: DataFrame, members: DataFrame, threshold: float, k: int) -> DataFrame:
     """(node, component) of the lines that resemble another: leaders first, then what is left. Each
     step's tables go once it is done, members too."""
-    groups = settle(lambda: leader_groups(lines, distinct, members, threshold, k))
-    more = settle(lambda: left_links(lines, distinct, members, groups, threshold, k))
+    groups = settle(lambda: leader_groups(places, distinct, members, threshold, k))
+    more = settle(lambda: left_links(places, distinct, members, groups, threshold, k))
     return connected_components(more.unionByName(groups.select(F.col("component").alias("a"), F.col("node").alias("b"))), "a", "b")
 
 
@@ -211,11 +231,10 @@ def gone_lines(docs: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame
     of the distinct lines come from verified pairs; the earliest (doc_id, text's hashes,
     position) of a component stays.
     """
-    lines = lines_of(docs)
-    all_lines = cut(lines.drop("line"))
+    all_lines = cut(lines_of(docs).drop("line"))
     distinct = settle(lambda: distinct_lines(lines_of(each_text(docs.select("doc_id", "text"))), all_lines, k))
     members = members_of(distinct)
-    groups = line_groups(lines, distinct, members, threshold, k)
+    groups = line_groups(places_of(docs), distinct, members, threshold, k)
     # Written down, so that the join of a component's lines with its head can be split.
     at = cut(join_found(distinct.select(F.col("id").alias("node"), "first"), cut(groups), ["node"], "xxhash64(node)"))
     heads = cut(at.groupBy("component").agg(F.min("first").alias("head")))

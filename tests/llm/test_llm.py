@@ -462,6 +462,40 @@ def test_copies_of_a_text_are_not_signed_again(spark, monkeypatch):
     assert got == {None: [], 70: [], 71: [0]} | {i: [0, 1] for i in range(60)}
 
 
+def test_texts_are_folded_for_keys_and_signatures_alone(spark, monkeypatch):
+    rng = np.random.default_rng(15)
+    word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, 7))
+    base = [" ".join(word() for _ in range(30)) for _ in range(3)]
+    # What ends in a capital sigma folds alike within the text and by itself.
+    rows = [(i, f"{base[i % 3]} \u039f\u03a3\n{word()} by itself\n \t", "s") for i in range(3)] + [(3 + i, f"own {word()}\n{base[i]} {word()} \u039f\u03a3", "s") for i in range(3)]
+    plans, write = [], fuzzylines.cut
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(fuzzylines, "cut", seen)
+    monkeypatch.setattr(fuzzylines, "settle", lambda make: seen(make()))
+    got = {r.doc_id: r.removed_lines for r in fuzzylines.dedup_lines_fuzzy(make(spark, rows)).collect()}
+    assert got == {i: [] for i in range(3)} | {3 + i: [1] for i in range(3)}
+    assert sum("lower(text#" in x for x in plans) == 2 and sum("lower(line#" in x for x in plans) >= 1
+
+
+def test_lines_that_borrow_agree_with_those_that_fill_all_bins(spark):
+    rng = np.random.default_rng(16)
+    lines = ["".join(chr(0x4E00 + c) for c in rng.integers(0, 20000, n)) for n in rng.integers(90, 160, 400)]
+    rows = [(2 * i + j, x[: len(x) - 6 * j], "s") for i, x in enumerate(lines) for j in (0, 1)]
+    kept = fuzzylines.lines_of(make(spark, rows))
+    sign = {(r.h1, r.h2): r for r in fuzzylines.signatures(kept, 5).collect()}
+    of = {r.doc_id: sign[r.h1, r.h2] for r in kept.collect()}
+    agree = []
+    for i in range(400):
+        x, y = of[2 * i], of[2 * i + 1]
+        d = [(a ^ b) & (2**64 - 1) for a, b in ((x.s1, y.s1), (x.s2, y.s2))]
+        agree.append(sum(not v >> 4 * j & 15 for v in d for j in range(16)))
+    assert len(of[0].bands) == len(fuzzylines.BANDS) and np.mean(agree) >= 29 and min(agree) >= 20
+
+
 def test_short_lines_meet_as_often_as_they_are_alike(spark):
     """Sets of five of which two share four, as bands and AGREE let them through."""
     rng = np.random.default_rng(13)
