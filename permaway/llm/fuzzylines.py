@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from permaway.llm.rows import KEY, each_text, join_found, join_rows, text_keys
 from permaway.operators.components import connected_components
-from permaway.operators.scratch import cut, discard, hint_small, settle
+from permaway.operators.scratch import cut_clean as cut
+from permaway.operators.scratch import discard, hint_small, settle
 
 #: Minima of a signature: the hashes of all shingles are dealt to so many bins by their low bits.
 BINS = 32

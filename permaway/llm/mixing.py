@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from permaway.operators.scratch import BROADCAST_BYTES, bytes_of, cut
+from permaway.operators.scratch import BROADCAST_BYTES, bytes_of
+from permaway.operators.scratch import cut_clean as cut
 
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from permaway.llm.batches import text_batches
 from permaway.llm.shingles import shingle_set
 from permaway.operators.components import connected_components
-from permaway.operators.scratch import cut, hint_small, settle
+from permaway.operators.scratch import cut_clean as cut
+from permaway.operators.scratch import hint_small, settle
 
 #: Shingles in one chunk of a block, which one task joins with itself or another chunk.
 CHUNK = 150_000

@@ -54,6 +54,24 @@ def test_settle_has_the_shuffle_files_of_its_result_deleted(spark):
     assert not files() - before and out.count() == 50021
 
 
+def test_settle_without_loose_shuffles_collects_no_garbage(spark, monkeypatch):
+    """Every settle had the driver collect all its garbage, which let its heap grow in the pipeline."""
+    calls = []
+    monkeypatch.setattr(scratch, "release", calls.append)
+    df = spark.range(200_000).selectExpr("id % 50021 AS k", "id").groupBy("k").sum("id")
+    before = {f.getName() for f in _shuffled(spark)}
+
+    def make():
+        out = scratch.cut_clean(df)
+        assert not {f.getName() for f in _shuffled(spark)} - before
+        return out.where("k > 0")
+
+    assert scratch.settle(make).count() == 50020 and not calls
+    assert spark.conf.get(scratch.CLEANUP) == "false"
+    scratch.settle(lambda: scratch.cut(df).where("k > 0"))
+    assert len(calls) == 1
+
+
 def test_discard_deletes_one_table(spark):
     stays, goes = scratch.cut(spark.range(5)), scratch.cut(spark.range(7))
     path = scratch._written[-1]
