@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +25,8 @@ BANDS = tuple((i, 8 + i, 16 + i, 24 + i) for i in range(8)) + tuple((i, 8 + (i +
 AGREE = 17
 #: Lines of which so many agree are taken for alike until they have been compared.
 LIKELY = 24
+#: Words of 64 bits with a bit for each shingle of a line: most pairs at 0.7 of lines of up to a thousand characters are told by them.
+MARKS = 32
 #: What is trimmed off a line's ends.
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -34,6 +39,17 @@ def shingles(line: str, k: int) -> str:
     return f"CASE WHEN length({line}) < {k} THEN array(xxhash64({line})) ELSE element_at(transform(array(encode({line}, 'UTF-32')), b -> {each}), 1) END"
 
 
+def each_shingle(lines: DataFrame, k: int, *keys: str) -> DataFrame:
+    """(keys, h): a row of the 64-bit hash of each k-character shingle of a line, as often as it occurs.
+
+    Rows, since they are hashed in generated code. Four bytes to a character, so that a
+    shingle is a slice; a shorter line is its own one."""
+    # A lambda ends the generated function of the scan here, which would be too long to be compiled.
+    x = lines.select(*keys, F.expr("element_at(transform(array(line), x -> encode(x, 'UTF-32')), 1)").alias("b"))
+    x = x.select(*keys, "b", F.expr(f"explode(sequence(1, greatest(length(b) - {4 * k - 1}, 1), 4))").alias("i"))
+    return x.select(*keys, F.expr(f"xxhash64(substring(b, i, {4 * k}))").alias("h"))
+
+
 def signatures(lines: DataFrame, k: int) -> DataFrame:
     """(h1, h2, n, bands, s1, s2) of each line that differs from the others: MinHash over all
     k-character shingles, by one permutation.
@@ -42,13 +58,9 @@ def signatures(lines: DataFrame, k: int) -> DataFrame:
     combined before the shuffle; equal lines fall together. Each shingle counts in the one bin
     that its hash names, whose filter spares the others. A bin that no shingle of a short line
     falls into borrows along a fixed order of bins, so that two lines agree in a bin with the
-    probability of their similarity there too. Four bytes to a character, so that a shingle is
-    a slice; a shorter line is its own one.
+    probability of their similarity there too.
     """
-    # A lambda ends the generated function of the scan here, which would be too long to be compiled.
-    x = lines.select("h1", "h2", "n", F.expr("element_at(transform(array(line), x -> encode(x, 'UTF-32')), 1)").alias("b"))
-    x = x.select("h1", "h2", "n", "b", F.expr(f"explode(sequence(1, greatest(length(b) - {4 * k - 1}, 1), 4))").alias("i"))
-    x = x.select("h1", "h2", "n", F.expr(f"cast(shiftright(xxhash64(substring(b, i, {4 * k})), 32) as int)").alias("s"))
+    x = each_shingle(lines, k, "h1", "h2", "n").select("h1", "h2", "n", F.expr("cast(shiftright(h, 32) as int)").alias("s"))
     g = x.groupBy("h1", "h2", "n").agg(*[F.expr(f"min(s) FILTER (WHERE (s & {BINS - 1}) = {i})").alias(f"m{i}") for i in range(BINS)])
     full = F.expr(" ^ ".join(f"m{i}" for i in range(BINS)) + " is not null")
     # Of lines that fill all bins, nearly all, bands and sketches are generated code; lambdas, which
@@ -68,20 +80,27 @@ def signatures(lines: DataFrame, k: int) -> DataFrame:
 
 
 def _borrowed(m: str) -> str:
-    """SQL of the minima m with a value in every bin."""
+    """SQL of the minima m with a value in every bin. Most lines are done after two rounds or three."""
     out = m
     for r, (a, b) in enumerate(BORROW):
-        out = f"element_at(transform(array({out}), m{r} -> transform(m{r}, (x, i) -> coalesce(x, m{r}[(i * {a} + {b}) & {BINS - 1}]))), 1)"
+        lent = f"transform(m{r}, (x, i) -> coalesce(x, m{r}[(i * {a} + {b}) & {BINS - 1}]))"
+        out = f"element_at(transform(array({out}), m{r} -> IF(exists(m{r}, x -> x is null), {lent}, m{r})), 1)"
     return f"transform({out}, x -> coalesce(x, array_min({m})))"
 
 
+def trimmed(line: str) -> Column:
+    """The line less BLANKS at its ends. To trim walks through all of a line, so it is left out for most."""
+    ends = [getattr(F.col(line), at)(c) for c in BLANKS for at in ("startswith", "endswith")]
+    return F.when(reduce(or_, ends), F.btrim(line, F.lit(BLANKS))).otherwise(F.col(line))
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
     """(doc_id, r1, r2, pos, h1, h2, n, line) of the lines that hold something: lower case, ASCII
     blanks at the ends off. 96 bits of two hashes and the length stand for a line."""
     # The text's own hashes come before its lines, once a text. Not the plain posexplode, for which Spark splits once more in a filter.
     u = docs.select("doc_id", *text_keys(F.col("text")), F.split(F.lower("text"), "\n", -1).alias("lines"))
     u = u.select(*KEY, F.posexplode_outer("lines").alias("pos", "line"))
-    u = u.withColumn("line", F.btrim("line", F.lit(BLANKS))).where("line <> ''")
+    u = u.withColumn("line", trimmed("line")).where("line <> ''")
     return u.select(*KEY, "pos", F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), F.length("line").alias("n"), "line")
 
 
@@ -152,9 +171,8 @@ def left_links(places: DataFrame, distinct: DataFrame, members: DataFrame, group
     Lines outside a bucket's largest component are compared with all that are of another one,
     so that a very large group of copies is not compared with itself. Semi-joins on the
     sketches tell first which lines have any candidate, and only those carry their texts;
-    then a pair is compared by short hashes in the first band that it shares, within the join,
-    which gives next to links alone; these are compared exactly. No list of other pairs is
-    ever made.
+    then the marks of a pair are compared in the first band that it shares, within the join,
+    which gives few but links; these are compared exactly. No list of other pairs is ever made.
     """
     mixed = settle(lambda: mixed_buckets(members, groups))
     discard(members)
@@ -167,22 +185,28 @@ def left_links(places: DataFrame, distinct: DataFrame, members: DataFrame, group
     ys = with_any(y, hint_small(xs))
     discard(mixed)
     refs = xs.select(F.col("xid").alias("id")).union(ys.select("yid"))
-    # Sixteen bits of each shingle, made once a line, tell most pairs that fall short.
-    short = F.expr(f"array_distinct(transform({shingles('line', k)}, h -> smallint(shiftright(h, 48))))")
-    texts = cut(texts_of(places, distinct, refs, "bands").withColumn("q", short))
-    x, y = (r.join(texts.select(F.col("id").alias(n + "id"), *[F.col(c).alias(c + n) for c in ("bands", "q")]), n + "id") for r, n in ((xs, "x"), (ys, "y")))
+    texts = cut(texts_of(places, distinct, refs, "bands"))
+    marks = cut(marks_of(texts, k).join(texts.select("id", "bands"), "id"))
+    x, y = (r.join(marks.select(F.col("id").alias(n + "id"), *[F.col(c).alias(c + n) for c in ("bands", "marks", "windows")]), n + "id") for r, n in ((xs, "x"), (ys, "y")))
     first = F.col("band") == F.array_min(F.array_intersect("bandsx", "bandsy"))
     j = x.join(y.withColumnRenamed("band", "_band"), (F.col("band") == F.col("_band")) & candidate & first & F.expr(_near(threshold)))
     return compared(cut(j.select(F.col("xid").alias("a"), F.col("yid").alias("b"))), texts, threshold, k)
 
 
+def marks_of(texts: DataFrame, k: int) -> DataFrame:
+    """(id, marks, windows): a bit for the hash of each shingle of a line, in MARKS words, and how
+    many shingles it has, repeats counted."""
+    x = each_shingle(texts, k, "id").select("id", F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"), F.expr(f"cast(shiftright(h, 6) & {MARKS - 1} as int)").alias("word"))
+    g = x.groupBy("id").agg(F.count("*").alias("windows"), *[F.expr(f"bit_or(bit) FILTER (WHERE word = {w})").alias(f"w{w}") for w in range(MARKS)])
+    return g.select("id", F.array(*[F.coalesce(f"w{w}", F.lit(0).cast("bigint")) for w in range(MARKS)]).alias("marks"), "windows")
+
+
 def _near(threshold: float) -> str:
-    """SQL of whether the sets qx and qy of 16-bit hashes reach the threshold less 0.03, with two
-    more in common. Hashes that coincide make sets more alike on the whole: what two sets share
-    shrinks less by them than their union does."""
-    t = threshold - 0.03
-    fits = f"least(size(qx), size(qy)) + 2 >= {t!r}D * greatest(size(qx), size(qy))"
-    return f"{fits} and (size(array_intersect(qx, qy)) + 2) * {1 + t!r}D >= {t!r}D * (size(qx) + size(qy))"
+    """SQL of whether lines of these marks may reach the threshold; no pair that does is lost. Each
+    mark of one line alone stands for another shingle of that line alone, and sets of the
+    sizes a and b that are alike by t differ in (a + b) * (1 - t) / (1 + t) shingles at most."""
+    apart = "aggregate(zip_with(marksx, marksy, (x, y) -> bit_count(x ^ y)), 0, (n, d) -> n + d)"
+    return f"{apart} * {1 + threshold!r}D <= {1 - threshold!r}D * (windowsx + windowsy) + 0.001D"
 
 
 def texts_of(places: DataFrame, distinct: DataFrame, refs: DataFrame, *more: str) -> DataFrame:

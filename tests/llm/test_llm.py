@@ -512,6 +512,37 @@ def test_short_lines_meet_as_often_as_they_are_alike(spark):
     assert met >= 0.98 * 1500
 
 
+def test_marks_lose_no_pair_and_tell_most_others(spark):
+    """Pairs around the threshold, short and long, of which the marks stand before the exact comparison."""
+    rng = np.random.default_rng(17)
+    lines = []
+    for i in range(300):
+        x = [chr(97 + c) for c in rng.integers(0, 26, (4, 30, 200, 500, 900)[i % 5])]
+        y = list(x)
+        for j in rng.choice(len(y), int(len(y) * (0, 0.02, 0.023, 0.05, 0.06)[i // 5 % 5]), replace=False):
+            y[j] = "\u00e9"
+        lines += ["".join(x), "".join(y)]
+    # Repeats count once in a set, but in every window: such pairs may pass.
+    lines += ["abcab" * 60, "abcab" * 90, "-" * 500, "-" * 400 + "+"]
+    texts = spark.createDataFrame(list(enumerate(lines)), "id bigint, line string")
+    marks = fuzzylines.marks_of(texts, 5)
+    x, y = (marks.selectExpr(f"id as id{n}", f"marks as marks{n}", f"windows as windows{n}") for n in "xy")
+    passed = {r.idx for r in x.join(y, F.expr("idx % 2 = 0 and idy = idx + 1")).where(fuzzylines._near(0.8)).collect()}
+    sets = [{s[a : a + 5] for a in range(max(1, len(s) - 4))} for s in lines]
+    alike = {i: len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, len(lines), 2)}
+    assert {i for i, s in alike.items() if s >= 0.8} <= passed and sum(s >= 0.8 for s in alike.values()) >= 150
+    under = [i for i, s in alike.items() if s < 0.7 and i < 600]
+    assert len(under) >= 80 and not passed & set(under)
+
+
+def test_trimming_walks_through_no_line_without_blanks_at_its_ends(spark):
+    odd = ["", " ", "\t\x0b\r", " a", "a\x0c", "a b", "\u00a0a\u3000", "\r a \t b\x0b ", None]
+    t = spark.createDataFrame([(x,) for x in odd], "line string").select("line", fuzzylines.trimmed("line").alias("t"))
+    assert [r.t for r in t.collect()] == [x if x is None else x.strip(fuzzylines.BLANKS) for x in odd]
+    plan = fuzzylines.lines_of(make(spark, [(1, "a\nb", "s")]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("trim(") == plan.count("THEN trim(") + plan.count("THEN btrim(") > 0
+
+
 # 8 line hashing
 
 
